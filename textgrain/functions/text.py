@@ -8,11 +8,11 @@ may actually need it are handed to Python.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 import pandas as pd
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -98,22 +98,24 @@ def surface_tokens(text: Column | str) -> Column:
     return F.regexp_extract_all(_col(text), F.lit(SURFACE_TOKEN), F.lit(0))
 
 
-def stop_form(token: Column) -> Column:
-    """The form under which a token is looked up in a stop list."""
-    return F.rtrim(F.lower(token), F.lit("'’"))
-
-
-def stop_words(spark: SparkSession, languages: Iterable[str] = ("italian",)) -> list[str]:
-    """Spark's own stop lists, as the distinct forms ``stop_form`` can produce."""
+def stop_words(languages: Iterable[str] = ("italian",)) -> list[str]:
+    """Spark's own stop lists without trailing apostrophes."""
     words: set[str] = set()
     for language in languages:
         words.update(w.lower().rstrip("'’") for w in StopWordsRemover.loadDefaultStopWords(language))
     return sorted(words)
 
 
-def content_words(text: Column | str, stops: list[str]) -> Column:
-    """Surface tokens without stop words (blanks and punctuation are never tokens)."""
-    return F.filter(surface_tokens(text), lambda t: ~stop_form(t).isin(stops))
+def drop_stop_words(df: DataFrame, tokens: str, stops: Sequence[str], output: str) -> DataFrame:
+    """Add ``output``: the tokens whose lower-cased form is no stop word.
+
+    An elided word (``dell'``) is looked up without its apostrophe.
+    """
+    forms = [w + end for w in stops for end in ("", "'", "’")]
+    remover = StopWordsRemover(
+        inputCol=tokens, outputCol=output, stopWords=forms, caseSensitive=False, locale="en_US"
+    )
+    return remover.transform(df)
 
 
 def sentences(text: Column | str) -> Column:

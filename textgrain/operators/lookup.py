@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 # A key is hot when it holds more than one row in this many.  Fewer than this many keys
 # can be hot at once, whatever the data: that bounds the broadcast table of hot keys.
 HOT_ONE_IN = 500
+# A table is broadcast only when it was measured to be smaller than this.
+BROADCAST_BYTES = 64 << 20
+
+
+def measured_bytes(table: DataFrame, key: str, row_bytes: int) -> int:
+    """Size of the table: its key bytes plus ``row_bytes`` for the rest of every row."""
+    size = table.agg(
+        (F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0)) + F.count(F.lit(1)) * row_bytes)
+    )
+    return int(size.first()[0])
 
 
 def hot_keys(rows: DataFrame, key: str, one_in: int = HOT_ONE_IN) -> DataFrame:
@@ -29,15 +39,19 @@ def keyed_lookup(
     key: str,
     spread: str,
     how: str = "inner",
+    row_bytes: int = 128,
+    limit: int = BROADCAST_BYTES,
     one_in: int = HOT_ONE_IN,
 ) -> DataFrame:
     """Join ``rows`` with ``table``, whose ``key`` is unique.
 
-    No side is forced to be broadcast: Catalyst does that from file statistics and AQE
-    from measured sizes.  For the case where the table is too large for it, rows of a hot
-    key are split by a hash of ``spread`` over several salts, and just that key's table
-    row is repeated once per salt.
+    The table is measured first.  A small one is broadcast: ``rows`` are not moved and
+    keep their partitioning.  A larger one is joined by shuffling both sides, with the
+    rows of a hot key split by a hash of ``spread`` over several salts and just that
+    key's table row repeated once per salt.
     """
+    if measured_bytes(table, key, row_bytes) <= limit:
+        return rows.join(F.broadcast(table), key, how)
     hot = F.broadcast(hot_keys(rows, key, one_in))
     salted = rows.join(hot, key, "left").withColumn(
         "_salt", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_salts")), F.lit(0)).cast("int")

@@ -22,7 +22,7 @@ from textgrain.functions.ngrams import (
     ngram_total,
     sequence_ngrams,
 )
-from textgrain.functions.text import content_words, normalized
+from textgrain.functions.text import drop_stop_words, normalized, surface_tokens
 from textgrain.operators.lookup import keyed_lookup
 from textgrain.operators.ordering import sorted_positions
 
@@ -37,7 +37,11 @@ def processed_documents(
     ``text`` is the kept words joined by a space; character n-grams are taken from it.
     Without a lexicon the lemma is the word itself and the part of speech is ``X``.
     """
-    words = docs.select("doc_id", *keep, content_words(normalized("text"), stops).alias("word"))
+    # Placed here, so that only the raw text is moved and all later work on a document,
+    # from its tokens to its n-gram counts, happens where it lands.
+    placed = docs.select("doc_id", *keep, "text").repartition("doc_id")
+    tokens = placed.select("doc_id", *keep, surface_tokens(normalized("text")).alias("_tokens"))
+    words = drop_stop_words(tokens, "_tokens", stops, "word").drop("_tokens")
     if lexicon is None:
         tagged = words.withColumn("lemma", F.col("word")).withColumn(
             "pos", F.transform("word", lambda w: F.lit("X"))

@@ -13,11 +13,11 @@ from textgrain.functions import text as tx
 from textgrain.operators import evaluation as ev
 from textgrain.operators import features as ft
 from textgrain.operators import hooks, models, pooling, subset
-from textgrain.operators.vectorize import gram_arrays
 from textgrain.plans.fragments import CORPUS, sequence_ngrams_cte, sql, words_cte
 from textgrain.plans.registry import query
 from textgrain.plans.text_queries import _processed
 from textgrain.plans.vector_queries import _DEVIATIONS, _train_word_counts, embeddings
+from textgrain.session import durable
 from textgrain.sources import sinks
 from textgrain.sources.tables import EMBEDDING_WIDTH, corpus, ranked_word_vectors, table
 
@@ -192,7 +192,8 @@ sums AS (SELECT doc_id, sum(cnt / total / std * weight) AS s
 ))
 def linear_score(spark, folder):
     counts = _train_word_counts(spark, folder).select("doc_id", "feature", "freq")
-    scored = models.relational_scores(counts, _weight_table(spark, folder), 0.5, corpus(spark, folder))
+    weights = durable(_weight_table(spark, folder).withColumn("weights", F.array("weight")))
+    scored = models.with_predictions(models.relational_scores(counts, weights, [0.5], corpus(spark, folder)))
     return scored.select("doc_id", F.round("score", 6).alias("score"))
 
 
@@ -207,44 +208,47 @@ def top_weights(spark, folder):
 # --- fitted models ----------------------------------------------------------------
 
 
-def _labelled_arrays(spark, folder, families) -> DataFrame:
-    processed = _processed(spark, folder, ["label", "split"], labelled=True)
-    return gram_arrays(processed, families, ["label", "split"])
+def _labelled(spark, folder) -> DataFrame:
+    return _processed(spark, folder, ["label", "split"], labelled=True)
+
+
+def _flat_confusion(df: DataFrame) -> DataFrame:
+    cell = F.col("confusion_matrix")
+    flat = {"tn": cell[0][0], "fp": cell[0][1], "fn": cell[1][0], "tp": cell[1][1]}
+    return df.withColumns(flat).drop("confusion_matrix")
 
 
 @query("svm_fit_eval")
 def svm_fit_eval(spark, folder):
     """Word unigrams at the chosen C, fitted on train and measured on all three splits."""
     families = ng.representations()["word_1grams"]
-    arrays = _labelled_arrays(spark, folder, families)
-    table = models.evaluate_splits(arrays, families, "word_1grams", 0.001, max_iter=50)
-    cell = F.col("confusion_matrix")
-    flat = {"tn": cell[0][0], "fp": cell[0][1], "fn": cell[1][0], "tp": cell[1][1]}
-    return table.withColumns(flat).drop("confusion_matrix")
+    return _flat_confusion(
+        models.evaluate_splits(_labelled(spark, folder), families, "word_1grams", 0.001, max_iter=50)
+    )
 
 
 @query("svm_hashed")
 def svm_hashed(spark, folder):
-    """All character n-grams without a vocabulary: hashed features, test split."""
+    """All character n-grams with hashed features, so that no vocabulary is needed."""
     families = ng.representations()["char_2_3_4grams"]
-    arrays = _labelled_arrays(spark, folder, families)
-    model = models.fit_ngrams(arrays.filter(F.col("split") == "train"), families, 0.1, max_iter=20, hashed=True)
-    scored = model.score(arrays.filter(F.col("split") == "test"), ["doc_id", "label"])
-    return ev.binary_metrics(scored).drop("confusion_matrix")
+    return _flat_confusion(
+        models.evaluate_splits(
+            _labelled(spark, folder), families, "char_2_3_4grams", 0.1, max_iter=20, hashed=True
+        )
+    )
 
 
 @query("grid_cv")
 def grid_cv(spark, folder):
     """Two representations, three C values, five folds on the training split."""
-    processed = _processed(spark, folder, ["label", "split"], labelled=True)
-    train = processed.filter(F.col("split") == "train").drop("split")
+    train = _labelled(spark, folder).filter(F.col("split") == "train").drop("split")
     return models.grid_search(train, ["char_2grams", "word_1grams"], [0.01, 1.0, 100.0], max_iter=20)
 
 
 @query("learning_curve")
 def learning_curve(spark, folder):
     families = ng.representations()["word_1grams"]
-    return models.learning_curve(_labelled_arrays(spark, folder, families), families, 0.001, max_iter=20)
+    return models.learning_curve(_labelled(spark, folder), families, 0.001, max_iter=20)
 
 
 def token_hash_encoder():
@@ -262,7 +266,7 @@ def token_hash_encoder():
 
 @query("encoder_hook")
 def encoder_hook(spark, folder):
-    vectors = hooks.encode_texts(corpus(spark, folder), lambda: token_hash_encoder())
+    vectors = hooks.encode_texts(corpus(spark, folder), token_hash_encoder)
     return vectors.select("doc_id", F.posexplode("vec").alias("dim", "value"))
 
 
@@ -277,7 +281,7 @@ def dense_tables(spark, folder) -> dict[str, DataFrame]:
     ).persist()
     direction = pooling.first_direction(sif.filter(F.col("split") == "train"))
     return {
-        "encoder": hooks.encode_texts(docs, lambda: token_hash_encoder(), keep),
+        "encoder": hooks.encode_texts(docs, token_hash_encoder, keep),
         "mean": pooling.sentence_vectors(docs, words, EMBEDDING_WIDTH, runs, keep),
         "mean_std": pooling.mean_std_pool(docs, words, EMBEDDING_WIDTH, tx.alpha_words("text"), keep),
         "sif": pooling.remove_direction(sif, direction),
@@ -292,7 +296,7 @@ def representation_compare(spark, folder):
 @query("final_test")
 def final_test(spark, folder):
     """The representation chosen on validation, fitted on train and measured on test."""
-    rows = hooks.encode_texts(corpus(spark, folder), lambda: token_hash_encoder(), ["label", "split"])
+    rows = hooks.encode_texts(corpus(spark, folder), token_hash_encoder, ["label", "split"])
     return models.evaluate_dense(rows, "encoder", on="test", max_iter=30)
 
 

@@ -22,6 +22,7 @@ from textgrain.plans.fragments import (
     words_cte,
 )
 from textgrain.plans.registry import query
+from textgrain.session import durable
 from textgrain.sources import sinks
 from textgrain.sources.tables import corpus, documents
 
@@ -30,7 +31,7 @@ BALANCED_ROWS = 100
 
 def _processed(spark: SparkSession, folder: str, keep=(), labelled: bool = False) -> DataFrame:
     docs = corpus(spark, folder) if labelled else documents(spark, folder)
-    return nt.processed_documents(docs, tx.stop_words(spark, LANGUAGES), keep=keep)
+    return nt.processed_documents(docs, tx.stop_words(LANGUAGES), keep=keep)
 
 
 # --- flagship ---------------------------------------------------------------------
@@ -304,7 +305,7 @@ def lexicon(spark, folder) -> DataFrame:
     known = forms.filter(F.char_length("form") % 10 != 0)
     last = F.lower(F.substring("form", -1, 1))
     pos = F.when(last.isin("a", "e", "i", "o", "u"), "NOUN").when(last.isin("n", "r", "s", "t"), "VERB").otherwise("ADJ")
-    return known.select("form", F.substring("form", 1, 5).alias("lemma"), pos.alias("pos"))
+    return durable(known.select("form", F.substring("form", 1, 5).alias("lemma"), pos.alias("pos")))
 
 
 _TAGGED = """
@@ -319,7 +320,7 @@ tagged AS (
 
 def _tagged(spark, folder) -> DataFrame:
     return nt.processed_documents(
-        documents(spark, folder), tx.stop_words(spark, LANGUAGES), lexicon(spark, folder)
+        documents(spark, folder), tx.stop_words(LANGUAGES), lexicon(spark, folder)
     )
 
 

@@ -331,11 +331,11 @@ def _train_word_counts(spark, folder) -> DataFrame:
 
 
 _DEVIATIONS = """
-train_docs AS (SELECT count(*)::DOUBLE AS n FROM corpus WHERE split = 'train'),
+train_docs AS (SELECT count(*)::DOUBLE AS size FROM corpus WHERE split = 'train'),
 deviations AS (
   SELECT feature, CASE WHEN var <= 0 THEN 1 ELSE sqrt(var) END AS std FROM (
     SELECT 'word_1grams::' || ngram AS feature,
-           sum(cnt / total * cnt / total) / any_value(n) - pow(sum(cnt / total) / any_value(n), 2) AS var
+           sum(cnt / total * cnt / total) / any_value(size) - pow(sum(cnt / total) / any_value(size), 2) AS var
     FROM word1, train_docs WHERE split = 'train' GROUP BY ngram))"""
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,25 +24,26 @@ def local_session(cores: int = 8, app: str = "textgrain") -> SparkSession:
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; only a local run may fall back to a default."""
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder the cluster names; only a local run may fall back to a default."""
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = "/tmp/textgrain-checkpoints"
-    context.setCheckpointDir(folder)
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            folder = "/tmp/textgrain-checkpoints"
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from the written rows.
+    """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
-    Needed wherever a value depends on the physical layout (partition numbers) or an
-    iterative fit reads the same rows many times: a lost executor then re-reads the
-    written rows instead of recomputing them with another layout.
+    Used where a value depends on the physical layout (partition numbers) and where many
+    jobs read the same rows: a lost executor then re-reads the written rows instead of
+    recomputing them, columns are pruned, and the size of the table is known.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

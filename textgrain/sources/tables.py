@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textgrain.functions.text import word_runs
 from textgrain.operators.ordering import sorted_positions
+from textgrain.session import durable
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,7 +43,7 @@ def ranked_word_vectors(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select(
         (F.col("vec_id") + 1).alias("rank"), F.col("embedding").alias("vec")
     )
-    return ranked.join(vectors, "rank").select("token", "vec")
+    return durable(ranked.join(vectors, "rank").select("token", "vec"))
 
 
 EMBEDDING_WIDTH = 64
