@@ -1,8 +1,8 @@
 """N-gram tables: long counts, per-document profiles, corpus totals, vocabularies.
 
 The canonical table is long: ``(doc_id, kind, n, ngram, cnt, total, freq)``.  The n-grams
-of a text take many times the bytes of the text, so the texts (or token arrays) are
-placed by ``doc_id`` *before* they are exploded: the grouping on
+of a text take many times the bytes of the text, so the texts are placed by ``doc_id``
+*before* they are tokenised and exploded: the grouping on
 ``(doc_id, kind, n, ngram)`` and every later grouping on ``doc_id`` then find their rows
 already together, and only the text crosses the network.
 """
@@ -60,7 +60,7 @@ def tag_words(words: DataFrame, lexicon: DataFrame) -> DataFrame:
 
     ``form`` must be unique in the lexicon.
     """
-    tokens = words.repartition("doc_id").select("doc_id", F.posexplode("word").alias("at", "form"))
+    tokens = words.select("doc_id", F.posexplode("word").alias("at", "form"))
     tagged = keyed_lookup(tokens, lexicon.select("form", "lemma", "pos"), "form", "doc_id", how="left")
     ordered = F.array_sort(
         F.collect_list(
@@ -93,11 +93,11 @@ def ngram_counts(
     """Long n-gram counts of every document for the given ``(kind, n)`` families.
 
     ``processed`` has ``doc_id``, ``text`` for character n-grams and an array column per
-    sequence kind.  ``total`` comes from the length of the text, not from a second
-    aggregation.  ``keep`` names columns that are constant per document.
+    sequence kind, and should be placed by ``doc_id`` (``processed_documents`` does that,
+    a table read back needs ``repartition("doc_id")``).  ``total`` comes from the length
+    of the text, not from a second aggregation.  ``keep`` names columns that are constant
+    per document.
     """
-    needed = sorted({"text" if kind == "char" else kind for kind, _ in families})
-    placed = processed.select("doc_id", *keep, *needed).repartition("doc_id")
     bags = []
     for kind, n in families:
         grams, total = _grams_of(kind, n)
@@ -109,9 +109,10 @@ def ngram_counts(
                 grams.alias("grams"),
             )
         )
-    exploded = placed.select("doc_id", *keep, F.explode(F.array(*bags)).alias("bag")).select(
-        "doc_id", *keep, "bag.kind", "bag.n", "bag.total", F.explode("bag.grams").alias("ngram")
-    )
+    # Own columns before the second explode: a struct that holds the whole array would be
+    # copied into every exploded row.
+    families_of = processed.select("doc_id", *keep, F.inline(F.array(*bags)))
+    exploded = families_of.select("doc_id", *keep, "kind", "n", "total", F.explode("grams").alias("ngram"))
     counted = exploded.groupBy("doc_id", *keep, "kind", "n", "total", "ngram").agg(
         F.count(F.lit(1)).alias("cnt")
     )
@@ -200,19 +201,9 @@ def top_ngrams(counts: DataFrame, by: str, k: int) -> DataFrame:
         # Rounded, so that the order of summation cannot decide a tie.
         F.round(F.sum("freq"), 9).alias("weight"),
     )
-    # A first cut inside hash slices of the n-grams: a group's full list is never sorted
-    # by one task, the second window sees at most slices * k rows per group.
-    score = [F.desc("weight"), F.asc("ngram")]
-    sliced = sums.withColumn("slice", F.pmod(F.xxhash64("ngram"), F.lit(64)))
-    first = Window.partitionBy(by, "slice").orderBy(*score)
-    final = Window.partitionBy(by).orderBy(*score)
-    return (
-        sliced.withColumn("rank", F.row_number().over(first))
-        .filter(F.col("rank") <= k)
-        .withColumn("rank", F.row_number().over(final))
-        .filter(F.col("rank") <= k)
-        .drop("slice")
-    )
+    # Catalyst limits every partition to its own first k before the rows of a group meet.
+    place = Window.partitionBy(by).orderBy(F.desc("weight"), F.asc("ngram"))
+    return sums.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
 
 
 def vocabulary(counts: DataFrame) -> DataFrame:
