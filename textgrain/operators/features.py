@@ -107,7 +107,8 @@ SURFACE_FEATURES = (
 
 def pos_shares(processed: DataFrame) -> DataFrame:
     """``(doc_id, pos, share)`` of the tagged tokens of every document."""
-    tags = processed.select("doc_id", F.size("pos").alias("n"), F.explode("pos").alias("pos"))
+    tags = processed.select("doc_id", F.size("pos").alias("n"), F.explode_outer("pos").alias("pos"))
+    tags = tags.filter(F.col("pos").isNotNull())
     return tags.groupBy("doc_id", "n", "pos").agg(F.count(F.lit(1)).alias("cnt")).select(
         "doc_id", "pos", (F.col("cnt") / F.col("n")).alias("share")
     )

@@ -22,7 +22,7 @@ from textgrain.functions.ngrams import (
     ngram_total,
     sequence_ngrams,
 )
-from textgrain.functions.text import drop_stop_words, normalized, surface_tokens
+from textgrain.functions.text import composed, drop_stop_words, null_text, squeeze_blanks, surface_tokens
 from textgrain.operators.lookup import keyed_lookup
 from textgrain.operators.ordering import sorted_positions
 
@@ -38,43 +38,40 @@ def processed_documents(
     Without a lexicon the lemma is the word itself and the part of speech is ``X``.
     """
     # Placed here, so that only the raw text is moved and all later work on a document,
-    # from its tokens to its n-gram counts, happens where it lands.
-    placed = docs.select("doc_id", *keep, "text").repartition("doc_id")
-    tokens = placed.select("doc_id", *keep, surface_tokens(normalized("text")).alias("_tokens"))
+    # from its tokens to its n-gram counts, happens where it lands.  The Python step comes
+    # first because Spark forgets the placement of rows that went through Python.
+    placed = docs.select("doc_id", *keep, composed(null_text("text", "nan")).alias("text")).repartition("doc_id")
+    tokens = placed.select("doc_id", *keep, surface_tokens(squeeze_blanks("text")).alias("_tokens"))
     words = drop_stop_words(tokens, "_tokens", stops, "word").drop("_tokens")
     if lexicon is None:
         tagged = words.withColumn("lemma", F.col("word")).withColumn(
             "pos", F.transform("word", lambda w: F.lit("X"))
         )
     else:
-        tagged = words.join(tag_words(words, lexicon), "doc_id", "left")
-        nothing = F.array().cast("array<string>")
-        tagged = tagged.withColumn("lemma", F.coalesce("lemma", nothing)).withColumn(
-            "pos", F.coalesce("pos", nothing)
-        )
+        tagged = tag_words(words, lexicon, keep)
     return tagged.select("doc_id", *keep, F.array_join("word", " ").alias("text"), "word", "lemma", "pos")
 
 
-def tag_words(words: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """``(doc_id, lemma, pos)`` arrays in word order from a ``(form, lemma, pos)`` lexicon.
+def tag_words(words: DataFrame, lexicon: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Add ``lemma`` and ``pos`` arrays, in word order, from a ``(form, lemma, pos)`` lexicon.
 
     ``form`` must be unique in the lexicon.
     """
-    tokens = words.select("doc_id", F.posexplode("word").alias("at", "form"))
+    # The outer explode keeps documents without words, and keeps Catalyst from testing
+    # the array for emptiness by computing it a second time before the rows are placed.
+    tokens = words.select("doc_id", *keep, F.posexplode_outer("word").alias("at", "form"))
     tagged = keyed_lookup(tokens, lexicon.select("form", "lemma", "pos"), "form", "doc_id", how="left")
-    ordered = F.array_sort(
-        F.collect_list(
-            F.struct(
-                "at",
-                F.coalesce("lemma", "form").alias("lemma"),
-                F.coalesce("pos", F.lit("X")).alias("pos"),
-            )
-        )
+    entry = F.struct(
+        "at",
+        "form",
+        F.coalesce("lemma", "form").alias("lemma"),
+        F.coalesce("pos", F.lit("X")).alias("pos"),
     )
+    ordered = F.filter(F.array_sort(F.collect_list(entry)), lambda e: e["form"].isNotNull())
     return (
-        tagged.groupBy("doc_id")
+        tagged.groupBy("doc_id", *keep)
         .agg(ordered.alias("t"))
-        .select("doc_id", F.col("t.lemma").alias("lemma"), F.col("t.pos").alias("pos"))
+        .select("doc_id", *keep, F.col("t.form").alias("word"), F.col("t.lemma").alias("lemma"), F.col("t.pos").alias("pos"))
     )
 
 

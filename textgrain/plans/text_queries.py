@@ -301,8 +301,8 @@ def corpus_ngram_totals(spark, folder):
 
 def lexicon(spark, folder) -> DataFrame:
     """Forms of the corpus with a stand-in lemma and part of speech; every tenth is left out."""
-    forms = _processed(spark, folder).select(F.explode("word").alias("form")).distinct()
-    known = forms.filter(F.char_length("form") % 10 != 0)
+    forms = _processed(spark, folder).select(F.explode_outer("word").alias("form")).distinct()
+    known = forms.filter(F.col("form").isNotNull() & (F.char_length("form") % 10 != 0))
     last = F.lower(F.substring("form", -1, 1))
     pos = F.when(last.isin("a", "e", "i", "o", "u"), "NOUN").when(last.isin("n", "r", "s", "t"), "VERB").otherwise("ADJ")
     return durable(known.select("form", F.substring("form", 1, 5).alias("lemma"), pos.alias("pos")))
