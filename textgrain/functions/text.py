@@ -26,13 +26,15 @@ SENTENCE_GAP = r"(?<=[.!?])(?U:[\s\x{1c}-\x{1f}]+)"
 ALPHA_MIN_LENGTH = 2
 ALPHA_MAX_LENGTH = 15
 
-# Superset of the characters whose presence can make a text differ from its composed
-# form: combining marks, conjoining jamo, singletons and compatibility ideographs.
+# Ranges that together hold every character whose presence can make a text
+# differ from its composed form (marks, conjoining jamo, singletons, compatibility
+# ideographs), and more.
 MAYBE_UNCOMPOSED = (
-    r"[\p{M}\x{0374}\x{037e}\x{0387}\x{1100}-\x{11ff}\x{1f00}-\x{1fff}\x{2000}\x{2001}"
+    r"[\p{M}\x{0374}\x{037e}\x{0387}\x{0870}-\x{0fff}\x{1100}-\x{11ff}\x{1700}-\x{17ff}"
+    r"\x{1ab0}-\x{1aff}\x{1dc0}-\x{1dff}\x{1f00}-\x{1fff}\x{2000}\x{2001}"
     r"\x{2126}\x{212a}\x{212b}\x{2329}\x{232a}\x{2adc}\x{f900}-\x{faff}\x{fb00}-\x{fb4f}"
-    r"\x{11000}-\x{11fff}\x{16100}-\x{1613f}\x{16d40}-\x{16d7f}\x{1d100}-\x{1d1ff}"
-    r"\x{2f800}-\x{2fa1f}]"
+    r"\x{10e80}-\x{11fff}\x{16100}-\x{1613f}\x{16d40}-\x{16d7f}\x{1d100}-\x{1d1ff}"
+    r"\x{1e000}-\x{1e8ff}\x{2f800}-\x{2fa1f}]"
 )
 
 NULL_POLICIES = ("nan", "empty", "keep")
