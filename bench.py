@@ -44,10 +44,11 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["normalized_text"](spark, folder).write.format("noop").mode("overwrite").save()
     seconds: dict[str, float] = {}
-    for name in HEADLINES:
+    for name in sys.argv[1:] or HEADLINES:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        print(name, seconds[name], file=sys.stderr, flush=True)
     print(
         json.dumps(
             {

@@ -37,6 +37,12 @@ MAYBE_UNCOMPOSED = (
     r"\x{1e000}-\x{1e8ff}\x{2f800}-\x{2fa1f}]"
 )
 
+# Latin letters, basic Cyrillic, dashes, quotes and currency signs.  A text
+# of these alone is composed; one simple class settles most texts.
+OUTSIDE_PLAIN = (
+    r"[^\x{0}-\x{2ff}\x{400}-\x{482}\x{48a}-\x{52f}\x{2010}-\x{2027}\x{2030}-\x{205e}\x{20a0}-\x{20bf}]"
+)
+
 NULL_POLICIES = ("nan", "empty", "keep")
 
 
@@ -62,7 +68,7 @@ def null_text(text: Column | str, policy: str = "keep") -> Column:
 def composed(text: Column | str) -> Column:
     """Canonically composed text; rows that cannot change never leave the JVM."""
     text = _col(text)
-    suspect = F.when(text.rlike(MAYBE_UNCOMPOSED), text)
+    suspect = F.when(text.rlike(OUTSIDE_PLAIN) & text.rlike(MAYBE_UNCOMPOSED), text)
     return F.coalesce(_compose(suspect), text)
 
 

@@ -24,7 +24,7 @@ from textgrain.functions.ngrams import (
 )
 from textgrain.functions.text import composed, drop_stop_words, null_text, squeeze_blanks, surface_tokens
 from textgrain.operators.lookup import keyed_lookup
-from textgrain.operators.ordering import sorted_positions
+from textgrain.operators.ordering import by_document, sorted_positions
 
 PROFILE_CELL = "array<struct<ngram:string,freq:double>>"
 
@@ -40,7 +40,7 @@ def processed_documents(
     # Placed here, so that only the raw text is moved and all later work on a document,
     # from its tokens to its n-gram counts, happens where it lands.  The Python step comes
     # first because Spark forgets the placement of rows that went through Python.
-    placed = docs.select("doc_id", *keep, composed(null_text("text", "nan")).alias("text")).repartition("doc_id")
+    placed = by_document(docs.select("doc_id", *keep, composed(null_text("text", "nan")).alias("text")))
     tokens = placed.select("doc_id", *keep, surface_tokens(squeeze_blanks("text")).alias("_tokens"))
     words = drop_stop_words(tokens, "_tokens", stops, "word").drop("_tokens")
     if lexicon is None:
@@ -91,7 +91,7 @@ def ngram_counts(
 
     ``processed`` has ``doc_id``, ``text`` for character n-grams and an array column per
     sequence kind, and should be placed by ``doc_id`` (``processed_documents`` does that,
-    a table read back needs ``repartition("doc_id")``).  ``total`` comes from the length
+    a table read back needs ``by_document``).  ``total`` comes from the length
     of the text, not from a second aggregation.  ``keep`` names columns that are constant
     per document.
     """

@@ -25,6 +25,16 @@ from textgrain.session import durable
 BUCKET = "_bucket"
 
 
+def by_document(df: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Place the rows of a document together, in ``spark.sql.shuffle.partitions`` parts.
+
+    The number is given explicitly so that adaptive execution leaves it alone: it would
+    merge parts by the bytes of the texts, which the following explode multiplies.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, key)
+
+
 def seeded_key(seed: int, *ids: Column | str) -> Column:
     """A uniform, reproducible 32-digit sort key for a row id."""
     parts = [F.lit(str(seed))] + [(F.col(i) if isinstance(i, str) else i).cast("string") for i in ids]
