@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from textgrain.functions.stop_words import words_of
+
 # Patterns that define what a token, a blank and a sentence end are.
 BLANKS = r"(?U)[\s\x{1c}-\x{1f}]+"
 EDGE_BLANKS = r"(?U)^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+$"
@@ -107,11 +109,8 @@ def surface_tokens(text: Column | str) -> Column:
 
 
 def stop_words(languages: Iterable[str] = ("italian",)) -> list[str]:
-    """Spark's own stop lists without trailing apostrophes."""
-    words: set[str] = set()
-    for language in languages:
-        words.update(w.lower().rstrip("'’") for w in StopWordsRemover.loadDefaultStopWords(language))
-    return sorted(words)
+    """The package's own stop lists; ``drop_stop_words`` takes any other list as well."""
+    return words_of(tuple(languages))
 
 
 def drop_stop_words(df: DataFrame, tokens: str, stops: Sequence[str], output: str) -> DataFrame:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import zipfile
-from functools import lru_cache
-from pathlib import Path
+from textgrain.functions.stop_words import words_of
 
 # Stop lists applied by the registered queries.
 LANGUAGES = ("english", "french", "german", "italian", "spanish")
@@ -28,18 +26,8 @@ SENTENCES = (
 )
 
 
-@lru_cache
 def stop_list_sql() -> str:
-    """The stop words Spark ships, read from its jar: the oracle needs no session."""
-    import pyspark
-
-    jar = next(Path(pyspark.__file__).parent.glob("jars/spark-mllib_*.jar"))
-    words: set[str] = set()
-    with zipfile.ZipFile(jar) as archive:
-        for language in LANGUAGES:
-            text = archive.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-            words.update(w.strip().lower().rstrip("'’") for w in text.split("\n") if w.strip())
-    return ", ".join("('" + w.replace("'", "''") + "')" for w in sorted(words))
+    return ", ".join(f"('{word}')" for word in words_of(LANGUAGES))
 
 
 def words_cte(source: str = "documents", keep: str = "") -> str:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,14 +28,19 @@ def local_session(cores: int = 8, app: str = "textgrain") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder the cluster names; only a local run may fall back to a default."""
+    """The checkpoint folder the cluster names.
+
+    Only a one-process run (``local[n]``, as in tests) may do without: it gets a new folder
+    that is deleted when the process ends.
+    """
     context = spark.sparkContext
     if not context.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if not (context.master == "local" or context.master.startswith("local[")):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = "/tmp/textgrain-checkpoints"
+            folder = tempfile.mkdtemp(prefix="textgrain-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
