@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textgrain.llm.common import read_table
 from textgrain.llm.token_counts import token_counts
+from textgrain.llm.warc import read_archives, write_archives
+from textgrain.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,8 +21,17 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, folder, "pages", "page_id", "url", "html")
+    archives = durable(write_archives(pages))
+    return read_archives(archives, with_payload=False).select(
+        F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_token_counts": op2_token_counts,
+    "op9_warc": op9_warc,
 }
 
 # DuckDB SQL for the queries that SQL can express.
