@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textgrain.llm.chat_windows import chat_windows, read_windows
 from textgrain.llm.common import read_table
 from textgrain.llm.token_counts import token_counts
 from textgrain.llm.warc import read_archives, write_archives
@@ -16,6 +17,16 @@ from textgrain.session import durable
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# A conversation whose texts hold the marks of common templates.
+MARKED_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op1_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    turns = read_table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame([(-7, 0, "user", MARKED_TEXT), (-7, 1, "assistant", MARKED_TEXT)], "conv_id long, turn long, role string, text string")
+    return read_windows(durable(chat_windows(turns.unionByName(marked))))
+
+
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents", "doc_id", "text")
     return token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -30,6 +41,7 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_chat_windows": op1_chat_windows,
     "op2_token_counts": op2_token_counts,
     "op9_warc": op9_warc,
 }
