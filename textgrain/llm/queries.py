@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from textgrain.llm.chat_windows import chat_windows, read_windows
 from textgrain.llm.common import read_table
+from textgrain.llm.multi_index import nearest_neighbours
 from textgrain.llm.token_counts import token_counts
 from textgrain.llm.warc import read_archives, write_archives
 from textgrain.session import durable
@@ -40,10 +41,15 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_neighbours(read_table(spark, folder, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_windows": op1_chat_windows,
     "op2_token_counts": op2_token_counts,
     "op9_warc": op9_warc,
+    "op10_multi_index": op10_multi_index,
 }
 
 # DuckDB SQL for the queries that SQL can express.
