@@ -27,12 +27,13 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textgrain.session import durable
 
-# Payload bytes of an archive, about; a record is never divided.
+# Uncompressed bytes of an archive, about; a record is never divided.
 ARCHIVE_BYTES = 16 << 20
 # The dictionary is trained on the first records of an archive, up to this many bytes.
 SAMPLE_BYTES = 1 << 20
@@ -82,17 +83,17 @@ class ArchiveWriter:
 
     def __init__(self) -> None:
         self.waiting: list[bytes] = []
-        self.waiting_bytes = 0
+        self.raw_bytes = 0
         self.out = io.BytesIO()
         self.compressor: zstandard.ZstdCompressor | None = None
 
     def add(self, one: bytes) -> None:
+        self.raw_bytes += len(one)
         if self.compressor is not None:
             self.out.write(self.compressor.compress(one))
             return
         self.waiting.append(one)
-        self.waiting_bytes += len(one)
-        if self.waiting_bytes >= SAMPLE_BYTES:
+        if self.raw_bytes >= SAMPLE_BYTES:
             self.begin()
 
     def begin(self) -> None:
@@ -132,10 +133,8 @@ def records_of(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         yield fields, block
 
 
-def planned_records(
-    pages: DataFrame, key: str, url: str, payload: str, min_revisit_bytes: int
-) -> tuple[DataFrame, int]:
-    """Rows with digest and, for revisits, the key they refer to; and the bytes of all payloads.
+def planned_records(pages: DataFrame, key: str, url: str, payload: str, min_revisit_bytes: int) -> DataFrame:
+    """Rows with digest and, for revisits, the key they refer to.
 
     Groups are aggregated before the shuffle, so a payload that a third of the rows share is
     one row there; the join with the rows is one that adaptive execution can split.
@@ -143,17 +142,13 @@ def planned_records(
     rows = pages.select(
         F.col(key).alias("key"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(payload).cast("string"), F.lit("")).alias("payload")
     ).withColumns({"digest": F.sha1(F.col("payload").cast("binary")), "size": F.octet_length("payload").cast("long")})
-    groups = durable(
-        rows.groupBy("digest", "size").agg(F.max("key").alias("keeper"), F.count(F.lit(1)).alias("n"))
-    )
-    total = groups.agg(F.coalesce(F.sum(F.when(F.col("size") < min_revisit_bytes, F.col("size") * F.col("n")).otherwise(F.col("size"))), F.lit(0))).first()[0]
+    groups = durable(rows.groupBy("digest", "size").agg(F.max("key").alias("keeper")))
     revisits = (F.col("size") >= min_revisit_bytes) & F.col("keeper").isNotNull() & ~F.col("key").eqNullSafe(F.col("keeper"))
-    planned = rows.join(groups.drop("n"), ["digest", "size"]).select(
+    return rows.join(groups, ["digest", "size"]).select(
         "key", "url", "digest", "size",
         F.when(revisits, F.col("keeper")).alias("refers_to"),
         F.when(revisits, F.lit("")).otherwise(F.col("payload")).alias("payload"),
     )
-    return planned, int(total)
 
 
 def write_archives(
@@ -164,35 +159,31 @@ def write_archives(
     min_revisit_bytes: int = 0,
     archive_bytes: int = ARCHIVE_BYTES,
 ) -> DataFrame:
-    """``(archive, data)``: one row per archive."""
-    planned, total = planned_records(pages, key, url, payload, min_revisit_bytes)
-    archives = max(1, -(-total // archive_bytes))
+    """``(archive, data)``: one row per archive.
+
+    A task begins a new archive whenever one is full, so the records are not moved again
+    after they have met their group, and no task holds more than one archive.
+    """
+    planned = planned_records(pages, key, url, payload, min_revisit_bytes)
     placed = planned.select(
-        F.pmod(F.xxhash64("key", "digest", "url"), F.lit(archives)).alias("archive"),
         F.coalesce(F.col("key").cast("string"), F.lit("")).alias("key"),
         F.col("refers_to").cast("string").alias("refers_to"),
         "url", "digest", "size", "payload",
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, writer = None, None
+        base, number, writer = TaskContext.get().partitionId() << 24, 0, ArchiveWriter()
         for batch in batches:
-            for archive, name, refers, link, digest, size, body in zip(*(column.to_pylist() for column in batch.columns)):
-                if archive != current:
-                    if writer is not None:
-                        yield archive_row(current, writer.close())
-                    current, writer = archive, ArchiveWriter()
+            for name, refers, link, digest, size, body in zip(*(column.to_pylist() for column in batch.columns)):
+                if writer.raw_bytes >= archive_bytes:
+                    yield archive_row(base + number, writer.close())
+                    number, writer = number + 1, ArchiveWriter()
                 base32 = base64.b32encode(bytes.fromhex(digest)).decode()
                 writer.add(record(name, link, body.encode("utf-8"), size, base32, refers))
-        if writer is not None:
-            yield archive_row(current, writer.close())
-
-    return (
-        placed.repartition(archives, "archive")
-        .sortWithinPartitions("archive", "key", "digest", "url")
-        .select("archive", "key", "refers_to", "url", "digest", "size", "payload")
-        .mapInArrow(write, "archive bigint, data binary")
-    )
+        if writer.raw_bytes:
+            yield archive_row(base + number, writer.close())
+
+    return placed.mapInArrow(write, "archive bigint, data binary")
 
 
 def archive_row(archive: int, data: bytes) -> pa.RecordBatch:
@@ -242,7 +233,7 @@ def export_archives(archives: DataFrame, folder: str) -> DataFrame:
         os.makedirs(folder, exist_ok=True)
         for batch in batches:
             for archive, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                path = f"{folder}/part-{archive:06d}.warc.zst"
+                path = f"{folder}/part-{archive:012d}.warc.zst"
                 with open(f"{path}.{uuid.uuid4().hex}", "wb") as file:
                     file.write(data.as_py())
                 os.replace(file.name, path)  # a repeated task puts the same bytes in place
