@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from textgrain.llm.chat_windows import chat_windows, read_windows
 from textgrain.llm.common import read_table
 from textgrain.llm.multi_index import nearest_neighbours
+from textgrain.llm.ordinal_quality import KEPT_FROM, fit_quality, grade_documents
 from textgrain.llm.token_counts import token_counts
 from textgrain.llm.warc import read_archives, write_archives
 from textgrain.session import durable
@@ -33,6 +34,12 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents", "doc_id", "text")
+    model = fit_quality(docs, read_table(spark, folder, "labels", "doc_id", "quality", "toxic"))
+    return grade_documents(docs, model).select("doc_id", "expected_grade", "tail", (F.col("tail") >= KEPT_FROM).alias("kept"))
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = read_table(spark, folder, "pages", "page_id", "url", "html")
     archives = durable(write_archives(pages))
@@ -48,6 +55,7 @@ def op10_multi_index(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_chat_windows": op1_chat_windows,
     "op2_token_counts": op2_token_counts,
+    "op3_ordinal_quality": op3_ordinal_quality,
     "op9_warc": op9_warc,
     "op10_multi_index": op10_multi_index,
 }
