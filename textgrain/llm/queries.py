@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from textgrain.llm.chat_windows import chat_windows, read_windows
 from textgrain.llm.common import read_table
+from textgrain.llm.language import fit_languages, identify_languages
 from textgrain.llm.multi_index import nearest_neighbours
 from textgrain.llm.ordinal_quality import KEPT_FROM, fit_quality, grade_documents
 from textgrain.llm.token_counts import token_counts
@@ -40,6 +41,11 @@ def op3_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     return grade_documents(docs, model).select("doc_id", "expected_grade", "tail", (F.col("tail") >= KEPT_FROM).alias("kept"))
 
 
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents", "doc_id", "text", "lang")
+    return identify_languages(docs, fit_languages(docs))
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = read_table(spark, folder, "pages", "page_id", "url", "html")
     archives = durable(write_archives(pages))
@@ -56,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op1_chat_windows": op1_chat_windows,
     "op2_token_counts": op2_token_counts,
     "op3_ordinal_quality": op3_ordinal_quality,
+    "op6_language": op6_language,
     "op9_warc": op9_warc,
     "op10_multi_index": op10_multi_index,
 }
