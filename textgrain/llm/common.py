@@ -109,6 +109,54 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray, blank: np.ndarray = BLANK)
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+class KeyTable:
+    """Integer keys with small values, added and looked up as whole arrays (open addressing)."""
+
+    def __init__(self, bits: int = 20):
+        self.bits, self.mask = bits, (1 << bits) - 1
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros(1 << self.bits, np.int64)
+        self.values = np.full(1 << self.bits, -1, np.int32)
+        self.size, self.probes = 0, 1
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """New, distinct keys; values are not negative."""
+        keys, values = np.ascontiguousarray(keys, np.int64), np.asarray(values, np.int32)
+        self.size += len(keys)
+        slots, steps = self.slots(keys), 1
+        while len(keys):
+            free = np.flatnonzero(self.values[slots] < 0)
+            placed = free[np.unique(slots[free], return_index=True)[1]]
+            self.keys[slots[placed]], self.values[slots[placed]] = keys[placed], values[placed]
+            left = np.ones(len(keys), bool)
+            left[placed] = False
+            keys, values, slots = keys[left], values[left], (slots[left] + 1) & self.mask
+            self.probes = max(self.probes, steps)
+            steps += 1
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The values; -1 for an unknown key."""
+        keys = np.ascontiguousarray(keys, np.int64)
+        slots = self.slots(keys)
+        found = self.values[slots]
+        wrong = np.flatnonzero((found >= 0) & (self.keys[slots] != keys))
+        found[wrong] = -1
+        for _ in range(self.probes):
+            if not len(wrong):
+                break
+            at = slots[wrong] = (slots[wrong] + 1) & self.mask
+            value = self.values[at]
+            hit = (value >= 0) & (self.keys[at] == keys[wrong])
+            found[wrong[hit]] = value[hit]
+            wrong = wrong[~hit & (value >= 0)]
+        return found
+
+
 def keyless(df: DataFrame) -> DataFrame:
     """The rows in round-robin order over the shuffle partitions: even tasks for scans."""
     return df.repartition(parts_of(df))

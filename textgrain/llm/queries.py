@@ -13,6 +13,7 @@ from textgrain.llm.common import read_table
 from textgrain.llm.language import fit_languages, identify_languages
 from textgrain.llm.multi_index import nearest_neighbours
 from textgrain.llm.ordinal_quality import KEPT_FROM, fit_quality, grade_documents
+from textgrain.llm.piece_encoding import decode_ids, encode_texts
 from textgrain.llm.token_counts import token_counts
 from textgrain.llm.warc import read_archives, write_archives
 from textgrain.session import durable
@@ -46,6 +47,13 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     return identify_languages(docs, fit_languages(docs))
 
 
+def op7_piece_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode_texts(read_table(spark, folder, "documents", "doc_id", "text"), model)
+    decoded = decode_ids(encoded, model, output="decoded")
+    return decoded.select("doc_id", "n_bytes", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = read_table(spark, folder, "pages", "page_id", "url", "html")
     archives = durable(write_archives(pages))
@@ -63,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op2_token_counts": op2_token_counts,
     "op3_ordinal_quality": op3_ordinal_quality,
     "op6_language": op6_language,
+    "op7_piece_encoding": op7_piece_encoding,
     "op9_warc": op9_warc,
     "op10_multi_index": op10_multi_index,
 }

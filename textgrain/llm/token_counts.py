@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgrain.llm.common import text_runs
+from textgrain.llm.common import KeyTable, text_runs
 
 # The split of the vocabulary's byte-level pre-tokenizer.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -69,51 +69,22 @@ def byte_symbols() -> list[str]:
 NEVER = np.int32(1 << 30)
 # Pre-tokens of up to this many bytes are merged in batches, longer ones with a heap.
 BATCHED_BYTES = 64
-SLOT_BITS = 20
-
-
-class PairTable:
-    """Rank of a pair of symbols, looked up for whole arrays: an open-addressed table."""
-
-    def __init__(self, ranks: dict[int, int]):
-        self.keys = np.full(1 << SLOT_BITS, -1, np.int64)
-        self.ranks = np.full(1 << SLOT_BITS, NEVER, np.int32)
-        self.probes = 1
-        todo = np.fromiter(ranks.keys(), np.int64, len(ranks))
-        values = np.fromiter(ranks.values(), np.int32, len(ranks))
-        slots = self.slot(todo)
-        while len(todo):
-            free = self.keys[slots] < 0
-            first = np.unique(slots[free], return_index=True)[1]
-            placed = np.flatnonzero(free)[first]
-            self.keys[slots[placed]], self.ranks[slots[placed]] = todo[placed], values[placed]
-            left = np.ones(len(todo), bool)
-            left[placed] = False
-            todo, values, slots = todo[left], values[left], (slots[left] + 1) & ((1 << SLOT_BITS) - 1)
-            self.probes += bool(len(todo))
-
-    @staticmethod
-    def slot(keys: np.ndarray) -> np.ndarray:
-        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return (mixed >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
-    def get(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        keys = left.astype(np.int64) << 20 | right.astype(np.int64)
-        slots = self.slot(keys)
-        found = np.where(self.keys[slots] == keys, self.ranks[slots], NEVER)
-        open_ = np.flatnonzero((found == NEVER) & (self.keys[slots] >= 0) & (left >= 0) & (right >= 0))
-        for _ in range(self.probes):
-            if not len(open_):
-                break
-            slots_open = (slots.ravel()[open_] + 1) & ((1 << SLOT_BITS) - 1)
-            slots.ravel()[open_] = slots_open
-            hit = self.keys[slots_open] == keys.ravel()[open_]
-            found.ravel()[open_[hit]] = self.ranks[slots_open[hit]]
-            open_ = open_[~hit & (self.keys[slots_open] >= 0)]
-        return found
 
 
-def batch_counts(raws: list[bytes], table: PairTable) -> np.ndarray:
+def pair_table(ranks: dict[int, int]) -> KeyTable:
+    table = KeyTable()
+    table.add(np.fromiter(ranks.keys(), np.int64, len(ranks)), np.fromiter(ranks.values(), np.int32, len(ranks)))
+    return table
+
+
+def pair_ranks(table: KeyTable, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Rank of each pair of symbols; NEVER where it does not merge or is padding."""
+    keys = left.astype(np.int64) << 20 | right.astype(np.int64)
+    found = table.get(keys.ravel()).reshape(keys.shape)
+    return np.where(found < 0, NEVER, found)
+
+
+def batch_counts(raws: list[bytes], table: KeyTable) -> np.ndarray:
     """Tokens of many short pre-tokens at once: every round merges each one's best pair."""
     lengths = np.fromiter(map(len, raws), np.int64, len(raws))
     counts = lengths.copy()
@@ -124,7 +95,7 @@ def batch_counts(raws: list[bytes], table: PairTable) -> np.ndarray:
         width = int(lengths[part].max())
         ids = np.full((len(part), width), -1, np.int32)
         ids[np.arange(width) < lengths[part][:, None]] = np.frombuffer(b"".join(raws[i] for i in part), np.uint8)
-        best = table.get(ids[:, :-1], ids[:, 1:])
+        best = pair_ranks(table, ids[:, :-1], ids[:, 1:])
         rows = part
         while True:
             at = best.argmin(1)
@@ -144,9 +115,9 @@ def batch_counts(raws: list[bytes], table: PairTable) -> np.ndarray:
             best = np.take_along_axis(best, np.minimum(pairs + (pairs >= at[:, None]), width - 2), 1)
             best[:, -1] = NEVER
             inner = at < width - 1
-            best[line[inner], at[inner]] = table.get(ids[line[inner], at[inner]], ids[line[inner], at[inner] + 1])
+            best[line[inner], at[inner]] = pair_ranks(table, ids[line[inner], at[inner]], ids[line[inner], at[inner] + 1])
             inner = at > 0
-            best[line[inner], at[inner] - 1] = table.get(ids[line[inner], at[inner] - 1], ids[line[inner], at[inner]])
+            best[line[inner], at[inner] - 1] = pair_ranks(table, ids[line[inner], at[inner] - 1], ids[line[inner], at[inner]])
     return counts
 
 
@@ -186,7 +157,7 @@ class Vocabulary:
         pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["model"]["merges"]]
         self.byte_of = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
         made = dict(self.byte_of)
-        self.table: PairTable | None = None
+        self.table: KeyTable | None = None
         self.ranks = {}
         for rank, (left, right) in enumerate(pairs):
             self.ranks[made[left] << 20 | made[right]] = rank
@@ -209,7 +180,7 @@ class Vocabulary:
     def merge_counts(self, raws: list[bytes]) -> np.ndarray:
         """Tokens of each byte string, by merging."""
         if self.table is None:
-            self.table = PairTable(self.ranks)
+            self.table = pair_table(self.ranks)
         counts = np.zeros(len(raws), np.int64)
         short = [i for i, raw in enumerate(raws) if len(raw) <= BATCHED_BYTES]
         counts[short] = batch_counts([raws[i] for i in short], self.table)
