@@ -14,6 +14,7 @@ from textgrain.llm.language import fit_languages, identify_languages
 from textgrain.llm.multi_index import nearest_neighbours
 from textgrain.llm.ordinal_quality import KEPT_FROM, fit_quality, grade_documents
 from textgrain.llm.piece_encoding import decode_ids, encode_texts
+from textgrain.llm.string_tiling import contamination
 from textgrain.llm.token_counts import token_counts
 from textgrain.llm.warc import read_archives, write_archives
 from textgrain.session import durable
@@ -42,6 +43,11 @@ def op3_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     return grade_documents(docs, model).select("doc_id", "expected_grade", "tail", (F.col("tail") >= KEPT_FROM).alias("kept"))
 
 
+def op5_string_tiling(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents", "doc_id", "text")
+    return contamination(docs, read_table(spark, folder, "benchmark", "item_id", "text"))
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents", "doc_id", "text", "lang")
     return identify_languages(docs, fit_languages(docs))
@@ -70,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op1_chat_windows": op1_chat_windows,
     "op2_token_counts": op2_token_counts,
     "op3_ordinal_quality": op3_ordinal_quality,
+    "op5_string_tiling": op5_string_tiling,
     "op6_language": op6_language,
     "op7_piece_encoding": op7_piece_encoding,
     "op9_warc": op9_warc,
