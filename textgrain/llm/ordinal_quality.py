@@ -33,6 +33,8 @@ from textgrain.session import durable
 SLOTS = 1 << 17
 MAX_ROWS = 20_000
 FIT_PARTS = 12
+# Features are made of about this many bytes at a time.
+RUN_BYTES = 1 << 20
 PENALTY = 2e-6
 STEPS = 60
 MEMORY = 8
@@ -191,7 +193,7 @@ def fit_ordinal(
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, raw, offsets in text_runs(batch.column(0)):
+            for first, last, raw, offsets in text_runs(batch.column(0), RUN_BYTES):
                 row, slot, value = features(raw, offsets, slots)
                 order = np.argsort(row, kind="stable")
                 bounds = np.searchsorted(row[order], np.arange(last - first + 1)).astype(np.int32)
@@ -242,20 +244,18 @@ def grade_documents(docs: DataFrame, model: OrdinalModel, text: str = "text", pr
     # The weights have a fixed number of slots, whatever the documents.
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("struct<expected: double, tail: double>")
-    def graded(texts):
-        import pandas as pd
-
+    @F.arrow_udf("struct<expected: double, tail: double>")
+    def graded(texts: pa.Array) -> pa.Array:
         model = shared.value
         expected, tail = np.full(len(texts), float(max(model.grades, default=0))), np.ones(len(texts))
         if len(model.thresholds):
             gaps = np.diff(model.grades)
-            for first, last, raw, offsets in text_runs(pa.array(texts, pa.large_string(), from_pandas=True)):
+            for first, last, raw, offsets in text_runs(texts, RUN_BYTES):
                 row, slot, value = features(raw, offsets, len(model.weights))
                 tails = model.tails(np.bincount(row, model.weights[slot] * value, minlength=last - first))
                 expected[first:last] = model.grades[0] + tails @ gaps
                 tail[first:last] = tails[:, -1]
-        return pd.DataFrame({"expected": expected, "tail": tail})
+        return pa.StructArray.from_arrays([pa.array(expected), pa.array(tail)], ["expected", "tail"])
 
     column: Column = graded(F.col(text))
     return kept.withColumn("_graded", column).select(
