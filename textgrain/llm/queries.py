@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textgrain.llm.chat_windows import chat_windows, read_windows
+from textgrain.llm.chosen_path import near_components
 from textgrain.llm.common import read_table
 from textgrain.llm.language import fit_languages, identify_languages
 from textgrain.llm.multi_index import nearest_neighbours
@@ -60,6 +61,10 @@ def op7_piece_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.select("doc_id", "n_bytes", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
+    return near_components(read_table(spark, folder, "documents", "doc_id", "text"), size=2)
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = read_table(spark, folder, "pages", "page_id", "url", "html")
     archives = durable(write_archives(pages))
@@ -79,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op5_string_tiling": op5_string_tiling,
     "op6_language": op6_language,
     "op7_piece_encoding": op7_piece_encoding,
+    "op8_chosen_path": op8_chosen_path,
     "op9_warc": op9_warc,
     "op10_multi_index": op10_multi_index,
 }
