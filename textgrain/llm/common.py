@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -157,10 +158,7 @@ class KeyTable:
         return found
 
 
-def keyless(df: DataFrame) -> DataFrame:
-    """The rows in round-robin order over the shuffle partitions: even tasks for scans."""
-    return df.repartition(parts_of(df))
-
-
-def count_rows(df: DataFrame) -> int:
-    return int(df.agg(F.count(F.lit(1))).first()[0])
+def released(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished phases: it does once nothing refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -16,6 +16,7 @@ from textgrain.llm.multi_index import nearest_neighbours
 from textgrain.llm.ordinal_quality import KEPT_FROM, fit_quality, grade_documents
 from textgrain.llm.piece_encoding import decode_ids, encode_texts
 from textgrain.llm.string_tiling import contamination
+from textgrain.llm.suffix_buckets import removal_digests
 from textgrain.llm.token_counts import token_counts
 from textgrain.llm.warc import read_archives, write_archives
 from textgrain.session import durable
@@ -44,6 +45,10 @@ def op3_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     return grade_documents(docs, model).select("doc_id", "expected_grade", "tail", (F.col("tail") >= KEPT_FROM).alias("kept"))
 
 
+def op4_suffix_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    return removal_digests(read_table(spark, folder, "documents", "doc_id", "text"))
+
+
 def op5_string_tiling(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents", "doc_id", "text")
     return contamination(docs, read_table(spark, folder, "benchmark", "item_id", "text"))
@@ -81,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op1_chat_windows": op1_chat_windows,
     "op2_token_counts": op2_token_counts,
     "op3_ordinal_quality": op3_ordinal_quality,
+    "op4_suffix_buckets": op4_suffix_buckets,
     "op5_string_tiling": op5_string_tiling,
     "op6_language": op6_language,
     "op7_piece_encoding": op7_piece_encoding,
