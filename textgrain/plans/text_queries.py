@@ -250,22 +250,28 @@ def truncate_pad(spark, folder):
 _LONG = "SELECT doc_id, kind, n, ngram, cnt, total, cnt / total AS freq FROM"
 
 
-@query("char_ngrams", lambda: sql(words_cte(), char_ngrams_cte(3), final=f"{_LONG} char3"))
+def _all_of(tables) -> str:
+    return " UNION ALL ".join(f"{_LONG} {table}" for table in tables)
+
+
+@query(
+    "char_ngrams",
+    lambda: sql(words_cte(), *[char_ngrams_cte(n) for n in ng.CHAR_ORDERS], final=_all_of(f"char{n}" for n in ng.CHAR_ORDERS)),
+)
 def char_ngrams(spark, folder):
-    return nt.ngram_counts(_processed(spark, folder), [("char", 3)])
+    return nt.ngram_counts(_processed(spark, folder), [("char", n) for n in ng.CHAR_ORDERS])
 
 
 @query(
     "word_ngrams",
     lambda: sql(
         words_cte(),
-        sequence_ngrams_cte("word", 1),
-        sequence_ngrams_cte("word", 2),
-        final=f"{_LONG} word1 UNION ALL {_LONG} word2",
+        *[sequence_ngrams_cte("word", n) for n in ng.SEQUENCE_ORDERS],
+        final=_all_of(f"word{n}" for n in ng.SEQUENCE_ORDERS),
     ),
 )
 def word_ngrams(spark, folder):
-    return nt.ngram_counts(_processed(spark, folder), [("word", 1), ("word", 2)])
+    return nt.ngram_counts(_processed(spark, folder), [("word", n) for n in ng.SEQUENCE_ORDERS])
 
 
 @query(
@@ -290,13 +296,12 @@ def absolute_ngrams(spark, folder):
             f"SELECT kind, n, ngram, cnt FROM {t}"
             for t in ("char2", "char3", "char4", "word1", "word2", "word3", "word4")
         )
-        + ") GROUP BY kind, n, ngram HAVING count(*) > 1",
+        + ") GROUP BY kind, n, ngram",
     ),
 )
 def corpus_ngram_totals(spark, folder):
     families = [("char", n) for n in ng.CHAR_ORDERS] + [("word", n) for n in ng.SEQUENCE_ORDERS]
-    totals = nt.corpus_totals(nt.ngram_counts(_processed(spark, folder), families))
-    return totals.filter(F.col("docs") > 1)
+    return nt.corpus_totals(nt.ngram_counts(_processed(spark, folder), families))
 
 
 def lexicon(spark, folder) -> DataFrame:
@@ -332,15 +337,16 @@ def _tagged(spark, folder) -> DataFrame:
         *[sequence_ngrams_cte(k, n, source="tagged") for k in ("lemma", "pos") for n in ng.SEQUENCE_ORDERS],
         final="SELECT kind, n, ngram, sum(cnt)::BIGINT AS cnt, count(*) AS docs FROM ("
         + " UNION ALL ".join(f"SELECT kind, n, ngram, cnt FROM {k}{n}" for k in ("lemma", "pos") for n in (1, 2, 3, 4))
-        + ") GROUP BY kind, n, ngram HAVING sum(cnt) > 1",
+        + ") GROUP BY kind, n, ngram",
     ),
 )
 def lemma_pos_ngrams(spark, folder):
     families = [(k, n) for k in ("lemma", "pos") for n in ng.SEQUENCE_ORDERS]
-    return nt.corpus_totals(nt.ngram_counts(_tagged(spark, folder), families)).filter(F.col("cnt") > 1)
+    return nt.corpus_totals(nt.ngram_counts(_tagged(spark, folder), families))
 
 
-_PROFILE = (("char", 2), ("word", 1), ("pos", 2))
+# The fifteen families of a profile.
+_PROFILE = tuple(ng.representations()["all_ngrams"])
 
 
 @query(
@@ -348,16 +354,14 @@ _PROFILE = (("char", 2), ("word", 1), ("pos", 2))
     lambda: sql(
         words_cte(),
         _TAGGED,
-        char_ngrams_cte(2),
-        sequence_ngrams_cte("word", 1),
-        sequence_ngrams_cte("pos", 2, source="tagged"),
+        *[char_ngrams_cte(n) if k == "char" else sequence_ngrams_cte(k, n, source="words" if k == "word" else "tagged") for k, n in _PROFILE],
         final="SELECT doc_id, family, CAST(row_number() OVER (PARTITION BY doc_id, family ORDER BY cnt DESC, ngram) - 1 AS INT) AS slot, ngram, cnt / total AS freq FROM ("
-        "SELECT 'char_2grams' AS family, * FROM char2 UNION ALL SELECT 'word_1grams', * FROM word1 "
-        "UNION ALL SELECT 'pos_2grams', * FROM pos2)",
+        + " UNION ALL ".join(f"SELECT '{ng.family_name(k, n)}' AS family, * FROM {k}{n}" for k, n in _PROFILE)
+        + ")",
     ),
 )
 def ngram_profile(spark, folder):
-    profile = nt.ngram_profile(_tagged(spark, folder), _PROFILE)
+    profile = nt.ngram_profile(durable(_tagged(spark, folder)), _PROFILE)
     named = [
         F.struct(F.lit(ng.family_name(k, n)).alias("family"), F.col(ng.family_name(k, n)).alias("cell"))
         for k, n in _PROFILE

@@ -8,18 +8,25 @@ from pyspark.sql import functions as F
 
 from textgrain.functions.text import document_key, one_sentence_per_line
 
-# Meaning of the columns of a cross-validation table.
-RESULT_LEGEND = {
-    "model_id": "running number of the evaluated model",
-    "representation": "n-gram representation used",
-    "C": "regularisation parameter of the linear SVM",
-    "accuracy_mean": "mean accuracy over the folds",
-    "accuracy_std": "standard deviation of the accuracy over the folds",
-    "f1_macro_mean": "mean macro F1 over the folds",
-    "f1_macro_std": "standard deviation of the macro F1 over the folds",
-    "roc_auc_mean": "mean ROC-AUC over the folds",
-    "roc_auc_std": "standard deviation of the ROC-AUC over the folds",
-}
+def column_meaning(name: str) -> str | None:
+    """What a column of this engine's cross-validation table holds."""
+    measures = {"accuracy": "share of held-out rows put into their class", "f1_macro": "unweighted mean of both classes' F1 on held-out rows", "roc_auc": "area under the held-out ROC curve, ties counted half"}
+    plain = {
+        "model_id": "model_ and the place of (feature set, C) in the grid, from 0",
+        "classifier": "kind of model fitted",
+        "representation": "name of the feature set",
+        "columns": "n-gram families that make up the feature set",
+        "C": "weight of the summed hinge loss against half the squared length of the weights",
+    }
+    for measure, text in measures.items():
+        part = name.removeprefix(f"{measure}_")
+        if part == "mean":
+            return f"{text}; mean over the held-out folds"
+        if part == "std":
+            return f"{text}; population deviation over the held-out folds"
+        if part.startswith("fold_"):
+            return f"{text}; held-out fold {part.removeprefix('fold_')}"
+    return plain.get(name)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -61,8 +68,9 @@ def label_mapping(docs: DataFrame, number: str = "doc_id") -> DataFrame:
 
 def with_legend(df: DataFrame) -> DataFrame:
     """Attach the meaning of each known column as its comment."""
-    for name, meaning in RESULT_LEGEND.items():
-        if name in df.columns:
+    for name in df.columns:
+        meaning = column_meaning(name)
+        if meaning is not None:
             df = df.withMetadata(name, {"comment": meaning})
     return df
 
