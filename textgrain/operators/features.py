@@ -142,6 +142,10 @@ class Scaler:
         return ElementwiseProduct(scalingVec=weights, inputCol=input_col, outputCol=output_col)
 
 
+# A feature whose deviation is below this part of its mean is constant but for rounding.
+CONSTANT = 1e-12
+
+
 def fit_scaler(train: DataFrame, column: str = "vec") -> Scaler:
     """Mean and population deviation of an array or ml vector column, summed on the executors."""
     is_array = train.schema[column].dataType.typeName() == "array"
@@ -150,7 +154,7 @@ def fit_scaler(train: DataFrame, column: str = "vec") -> Scaler:
     n = stats["count"]
     # The summariser divides by n - 1.
     std = stats["std"].toArray() * np.sqrt((n - 1) / n) if n > 1 else np.zeros(stats["mean"].size)
-    std = np.where(std > 10 * np.finfo(float).eps, std, 1.0)
+    std = np.where(std > CONSTANT * np.abs(stats["mean"].toArray()), std, 1.0)
     return Scaler(tuple(map(float, stats["mean"].toArray())), tuple(map(float, std)))
 
 
@@ -166,4 +170,4 @@ def sparse_deviations(counts: DataFrame, documents: int | Column) -> DataFrame:
     )
     k, m, v = F.col("k"), F.col("m"), F.col("v")
     spread = F.sqrt((k * v + k * (n - k) / n * m * m) / n)
-    return grouped.select("feature", F.when(spread == 0, F.lit(1.0)).otherwise(spread).alias("std"))
+    return grouped.select("feature", F.when(spread <= CONSTANT * F.abs(k * m / n), F.lit(1.0)).otherwise(spread).alias("std"))

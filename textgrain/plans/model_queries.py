@@ -223,7 +223,7 @@ def svm_fit_eval(spark, folder):
     """Word unigrams at the chosen C, fitted on train and measured on all three splits."""
     families = ng.representations()["word_1grams"]
     return _flat_confusion(
-        models.evaluate_splits(_labelled(spark, folder), families, "word_1grams", 0.001, max_iter=50)
+        models.evaluate_splits(_labelled(spark, folder), families, "word_1grams", 0.001)
     )
 
 
@@ -233,22 +233,22 @@ def svm_hashed(spark, folder):
     families = ng.representations()["char_2_3_4grams"]
     return _flat_confusion(
         models.evaluate_splits(
-            _labelled(spark, folder), families, "char_2_3_4grams", 0.1, max_iter=20, hashed=True
+            _labelled(spark, folder), families, "char_2_3_4grams", 0.1, hashed=True
         )
     )
 
 
 @query("grid_cv")
 def grid_cv(spark, folder):
-    """Two representations, three C values, five folds on the training split."""
+    """All representations and C values, five folds on the training split."""
     train = _labelled(spark, folder).filter(F.col("split") == "train").drop("split")
-    return models.grid_search(train, ["char_2grams", "word_1grams"], [0.01, 1.0, 100.0], max_iter=20)
+    return models.grid_search(durable(train))
 
 
 @query("learning_curve")
 def learning_curve(spark, folder):
     families = ng.representations()["word_1grams"]
-    return models.learning_curve(_labelled(spark, folder), families, 0.001, max_iter=20)
+    return models.learning_curve(_labelled(spark, folder), families, 0.001)
 
 
 def token_hash_encoder():
@@ -276,9 +276,9 @@ def dense_tables(spark, folder) -> dict[str, DataFrame]:
     words = ranked_word_vectors(spark, folder)
     runs, keep = tx.word_runs("text"), ["label", "split"]
     train = docs.filter(F.col("split") == "train")
-    sif = pooling.sif_pool(
+    sif = durable(pooling.sif_pool(
         docs, words, EMBEDDING_WIDTH, runs, pooling.unigram_probabilities(train, runs), keep=keep
-    ).persist()
+    ))
     direction = pooling.first_direction(sif.filter(F.col("split") == "train"))
     return {
         "encoder": hooks.encode_texts(docs, token_hash_encoder, keep),
@@ -290,14 +290,15 @@ def dense_tables(spark, folder) -> dict[str, DataFrame]:
 
 @query("representation_compare")
 def representation_compare(spark, folder):
-    return models.compare_representations(dense_tables(spark, folder), max_iter=30)
+    return models.compare_representations(dense_tables(spark, folder))
 
 
 @query("final_test")
 def final_test(spark, folder):
     """The representation chosen on validation, fitted on train and measured on test."""
-    rows = hooks.encode_texts(corpus(spark, folder), token_hash_encoder, ["label", "split"])
-    return models.evaluate_dense(rows, "encoder", on="test", max_iter=30)
+    tables = dense_tables(spark, folder)
+    winner = models.compare_representations(tables).first()["representation"]
+    return models.evaluate_dense(tables[winner], winner, on="test")
 
 
 def _profile_vectors(spark, folder) -> DataFrame:
@@ -311,7 +312,7 @@ def _profile_vectors(spark, folder) -> DataFrame:
 @query("epoch_losses")
 def epoch_losses(spark, folder):
     """Hinge loss on three splits after each of the passes over the profile features."""
-    rows = _profile_vectors(spark, folder).persist()
+    rows = durable(_profile_vectors(spark, folder))
     history = models.fit_epochs(rows.filter(F.col("split") == "train"))
     return models.epoch_losses(rows, history)
 
@@ -319,8 +320,8 @@ def epoch_losses(spark, folder):
 @query("profile_report")
 def profile_report(spark, folder):
     """Classification report of the profile model on validation and test."""
-    rows = _profile_vectors(spark, folder).persist()
-    weights, bias = models.fit_epochs(rows.filter(F.col("split") == "train"), epochs=10)[-1]
+    rows = durable(_profile_vectors(spark, folder))
+    weights, bias = models.fit_epochs(rows.filter(F.col("split") == "train"))[-1]
     scored = models.linear_scores(rows.filter(F.col("split") != "train"), weights, bias, ["split", "label"])
     return ev.classification_report(scored, ["split"])
 
@@ -328,5 +329,5 @@ def profile_report(spark, folder):
 @query("profile_top_weights")
 def profile_top_weights(spark, folder):
     rows = _profile_vectors(spark, folder)
-    model = models.fit_dense(rows.filter(F.col("split") == "train"), max_iter=30)
-    return ev.strongest_weights(models.model_weights(spark, model.svm, ft.SURFACE_FEATURES))
+    model = models.fit_dense(rows.filter(F.col("split") == "train"))
+    return ev.strongest_weights(models.model_weights(spark, model, ft.SURFACE_FEATURES))

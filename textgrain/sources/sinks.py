@@ -12,7 +12,7 @@ def column_meaning(name: str) -> str | None:
     """What a column of this engine's cross-validation table holds."""
     measures = {"accuracy": "share of held-out rows put into their class", "f1_macro": "unweighted mean of both classes' F1 on held-out rows", "roc_auc": "area under the held-out ROC curve, ties counted half"}
     plain = {
-        "model_id": "model_ and the place of (feature set, C) in the grid, from 0",
+        "model_id": "model_ and the place of (feature set, C) in the grid, from 1",
         "classifier": "kind of model fitted",
         "representation": "name of the feature set",
         "columns": "n-gram families that make up the feature set",
