@@ -52,6 +52,15 @@ def keyed_lookup(
     """
     if measured_bytes(table, key, row_bytes) <= limit:
         return rows.join(F.broadcast(table), key, how)
+    found = shuffled_lookup(rows.filter(F.col(key).isNotNull()), table, key, spread, how, one_in)
+    if how == "inner":
+        return found
+    # Null keys find nothing and can be any number: they do not take part in the shuffle.
+    return found.unionByName(rows.filter(F.col(key).isNull()), allowMissingColumns=True)
+
+
+def shuffled_lookup(rows: DataFrame, table: DataFrame, key: str, spread: str, how: str, one_in: int = HOT_ONE_IN) -> DataFrame:
+    """The join with both sides moved and the rows of hot keys salted."""
     hot = F.broadcast(hot_keys(rows, key, one_in))
     salted = rows.join(hot, key, "left").withColumn(
         "_salt", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_salts")), F.lit(0)).cast("int")

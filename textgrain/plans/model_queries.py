@@ -136,20 +136,31 @@ def softmax_metrics(spark, folder):
     return metrics.select("accuracy", "f1", F.round("roc_auc", 9).alias("roc_auc"))
 
 
+_FOLD_METRICS = ("accuracy", "f1_macro", "roc_auc")
+
+
 @query("fold_summary", lambda: sql(
     CORPUS, _SCORED,
     """
 folds AS (SELECT s.*, (row_number() OVER (PARTITION BY label ORDER BY md5('42-' || doc_id), doc_id) - 1) % 5 AS fold FROM scored s),
-per_fold AS (SELECT fold, count(*) FILTER (label = prediction) / count(*) AS accuracy FROM folds GROUP BY fold)""",
-    final="SELECT 'length' AS representation, round(avg(accuracy), 9) AS accuracy_mean, round(stddev_pop(accuracy), 9) AS accuracy_std, "
-    + ", ".join(f"max(CASE WHEN fold = {i} THEN accuracy END) AS accuracy_fold_{i + 1}" for i in range(5))
+cells AS (SELECT fold, count(*) FILTER (label = 0 AND prediction = 0) AS tn, count(*) FILTER (label = 0 AND prediction = 1) AS fp,
+                 count(*) FILTER (label = 1 AND prediction = 0) AS fn, count(*) FILTER (label = 1 AND prediction = 1) AS tp FROM folds GROUP BY fold),
+areas AS (SELECT p.fold, avg(CASE WHEN p.score > q.score THEN 1.0 WHEN p.score = q.score THEN 0.5 ELSE 0.0 END) AS roc_auc
+          FROM folds p JOIN folds q ON p.fold = q.fold AND p.label = 1 AND q.label = 0 GROUP BY p.fold),
+per_fold AS (SELECT fold, (tn + tp) / (tn + fp + fn + tp) AS accuracy, roc_auc,
+                    (CASE WHEN 2*tn + fn + fp = 0 THEN 0 ELSE 2*tn / (2*tn + fn + fp) END
+                     + CASE WHEN 2*tp + fn + fp = 0 THEN 0 ELSE 2*tp / (2*tp + fn + fp) END) / 2 AS f1_macro
+             FROM cells LEFT JOIN areas USING (fold))""",
+    final="SELECT 'length' AS representation, "
+    + ", ".join(f"round(avg({m}), 9) AS {m}_mean, round(stddev_pop({m}), 9) AS {m}_std, "
+                + ", ".join(f"round(max(CASE WHEN fold = {i} THEN {m} END), 9) AS {m}_fold_{i + 1}" for i in range(5)) for m in _FOLD_METRICS)
     + " FROM per_fold",
 ))
 def fold_summary(spark, folder):
-    folded = subset.with_folds(scored_by_length(spark, folder))
-    per_fold = ev.count_metrics(folded, ["fold"]).withColumn("representation", F.lit("length"))
-    summary = ev.fold_summary(per_fold, ["accuracy"], 5, ["representation"])
-    rounded = {c: F.round(c, 9) for c in ("accuracy_mean", "accuracy_std")}
+    folded = durable(subset.with_folds(scored_by_length(spark, folder)))
+    per_fold = ev.binary_metrics(folded, ["fold"]).withColumn("representation", F.lit("length"))
+    summary = ev.fold_summary(per_fold, _FOLD_METRICS, 5, ["representation"])
+    rounded = {c: F.round(c, 9) for c in summary.columns if c != "representation"}
     return sinks.with_legend(summary.withColumns(rounded))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,8 @@ from textgrain.plans.fragments import (
     words_cte,
 )
 from textgrain.plans.registry import query
-from textgrain.session import durable
+from textgrain.session import durable, shared_folder
+from textgrain.sources import labelled as readers
 from textgrain.sources import sinks
 from textgrain.sources.tables import corpus, documents
 
@@ -91,19 +94,71 @@ def balanced_tail(spark, folder):
     return subset.balanced_picks(corpus(spark, folder), BALANCED_ROWS, backward=True)
 
 
-@query(
-    "balanced_validation_subset",
-    lambda: f"""
-WITH picks AS ({_greedy_scan("DESC")})
+def _balanced_subset_sql(direction: str) -> str:
+    return f"""
+WITH picks AS ({_greedy_scan(direction)})
 SELECT p.doc_id, p.label, p.pick_no, md5(d.text) AS digest,
        row_number() OVER (ORDER BY md5('42-' || p.doc_id), p.doc_id) AS position
-FROM picks p JOIN documents d USING (doc_id)""",
-)
-def balanced_validation_subset(spark, folder):
-    rows = subset.balanced_subset(corpus(spark, folder), "validation", BALANCED_ROWS)
+FROM picks p JOIN documents d USING (doc_id)"""
+
+
+def _balanced_subset(spark, folder, mode: str) -> DataFrame:
+    rows = subset.balanced_subset(corpus(spark, folder), mode, BALANCED_ROWS)
     return rows.select("doc_id", "label", "pick_no", F.md5("text").alias("digest"), "position")
 
 
+@query("balanced_train_subset", lambda: _balanced_subset_sql("ASC"))
+def balanced_train_subset(spark, folder):
+    return _balanced_subset(spark, folder, "train")
+
+
+@query("balanced_validation_subset", lambda: _balanced_subset_sql("DESC"))
+def balanced_validation_subset(spark, folder):
+    return _balanced_subset(spark, folder, "validation")
+
+
+@query("balanced_test_subset", lambda: _balanced_subset_sql("ASC"))
+def balanced_test_subset(spark, folder):
+    return _balanced_subset(spark, folder, "test")
+
+
+# --- readers ----------------------------------------------------------------------
+
+
+def _as_csv(spark, folder, *columns) -> str:
+    """The labelled documents as CSV in the shared folder, with the given columns."""
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    sinks.write_table(corpus(spark, folder).select(*columns), path, "csv")
+    return path
+
+
+_READ = "SELECT md5(text) AS digest, {label} AS label, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY 1, 2"
+
+
+def _digests(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(F.md5("text").alias("digest"), "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("read_labelled", _READ.format(label="CAST(quality AS VARCHAR)"))
+def read_labelled(spark, folder):
+    """Documents written as CSV and read back by their column names."""
+    return _digests(readers.read_labelled(spark, _as_csv(spark, folder, "doc_id", "text", "label")))
+
+
+@query("read_positional", _READ.format(label="CAST(quality AS VARCHAR)"))
+def read_positional(spark, folder):
+    """The same by the places of the columns, under other names."""
+    path = _as_csv(spark, folder, F.col("text").alias("a"), F.col("label").alias("b"))
+    return _digests(readers.read_positional(spark, path, header=True))
+
+
+@query("read_trimmed", _READ.format(label="quality"))
+def read_trimmed(spark, folder):
+    """The same with blanks around the column names and a numeric label."""
+    path = _as_csv(spark, folder, F.col("text").alias(" text "), F.col("label").alias("label "))
+    return _digests(readers.read_trimmed(spark, path))
+
+
 @query("class_counts", "SELECT quality AS label, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY 1")
 def class_counts(spark, folder):
     return subset.class_counts(corpus(spark, folder))

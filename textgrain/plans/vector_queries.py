@@ -218,15 +218,15 @@ def wide_matrix(spark, folder):
     return sinks.wide_matrix(embeddings(spark, folder), EMBEDDING_WIDTH)
 
 
-@query("features_and_label", """
-SELECT vec_id AS doc_id, round(embedding[1]::DOUBLE + embedding[64]::DOUBLE, 6) AS ends, CASE WHEN label >= 5 THEN 1 ELSE 0 END AS label
+@query("features_and_label", f"""
+SELECT vec_id AS doc_id, unnest(range(len(embedding)))::INT AS dim, unnest(embedding)::DOUBLE AS value,
+       CASE WHEN label >= 5 THEN 1 ELSE 0 END AS label
 FROM embeddings""")
 def features_and_label(spark, folder):
     rows = embeddings(spark, folder)
     wide = rows.select("doc_id", *[F.get("vec", i).alias(f"f_{i}") for i in range(EMBEDDING_WIDTH)], "label")
     _, matrix = labelled.features_and_label(wide, exclude=["doc_id"])
-    ends = F.round(F.get("vec", 0) + F.get("vec", EMBEDDING_WIDTH - 1), DIGITS)
-    return matrix.select("doc_id", ends.alias("ends"), "label")
+    return matrix.select("doc_id", "label", F.posexplode("vec").alias("dim", "value"))
 
 
 # --- profiles and numeric features ------------------------------------------------
