@@ -4,9 +4,10 @@
 tokens.  In each of ``TREES`` independent trees a node picks coordinates at random, on average
 1 / threshold of them, and hands every document on to the child of its token there: a pair at
 the threshold is expected to meet in one child per level.  A node of at most ``NODE_LIMIT``
-documents is compared exhaustively; larger ones branch on.  Whatever still is large after
-``DEPTH`` levels shares so many tokens that it is one group of copies: it is compared in
-blocks that all hold its smallest document.
+documents is compared exhaustively.  A larger one is dealt into blocks that all hold its
+smallest document, its pivot; documents whose sketch is near the pivot's are connected
+through it and go no further, so a dense group of copies does not multiply, and the others
+also branch on.
 
 **Confirmation.**  Within a node the sketches pick connected candidates; their full sets are
 then compared exactly.  Only connectedness is asked for, so documents that are already
@@ -29,7 +30,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,10 +41,12 @@ from textgrain.session import durable
 
 COORDINATES = 64
 TREES, FIRST_TREES = 12, 3
-FIRST_LEVELS, MORE_LEVELS, DEPTH = 2, 4, 14
+FIRST_LEVELS, MORE_LEVELS = 2, 4
 NODE_LIMIT = 1024
 # Sketches that agree in this part of their tokens are candidates: four deviations below 0.8.
 SKETCH_SHARE = 0.58
+# Groups of up to this many members are compared many groups at a time.
+SMALL_GROUP = 16
 SET_BYTES = 6
 
 MULTIPLIERS = mix(np.arange(COORDINATES, dtype=np.uint64), 11) | np.uint64(1)
@@ -144,21 +146,25 @@ def roots(classes: DataFrame, trees: range, threshold: float) -> DataFrame:
     return classes.select("name", "tokens").mapInArrow(run, "path bigint, name bigint")
 
 
-def children(nodes: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+def children(members: DataFrame, threshold: float) -> DataFrame:
+    """Nodes further down, of the members ``(path, name, tokens, pivot)`` that are not near the pivot."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             tokens = packed_tokens(batch.column(2))
-            paths, owner = branched(np.asarray(batch.column(0)).view(np.uint64), np.arange(batch.num_rows), tokens, MORE_LEVELS, threshold)
+            far = np.flatnonzero((tokens == packed_tokens(batch.column(3))).mean(1) < threshold)
+            paths, owner = branched(np.asarray(batch.column(0)).view(np.uint64)[far], far, tokens, MORE_LEVELS, threshold)
             yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), batch.column(1).take(pa.array(owner))], ["path", "name"])
 
-    return nodes.join(classes.select("name", "tokens"), "name").select("path", "name", "tokens").mapInArrow(run, "path bigint, name bigint")
+    return members.select("path", "name", "tokens", "pivot").mapInArrow(run, "path bigint, name bigint")
 
 
 def leaves(classes: DataFrame, trees: range, threshold: float) -> DataFrame:
     """``(path, name)`` of the nodes to compare: two to ``NODE_LIMIT`` classes, or a block of a large one."""
-    nodes, depth, found = durable(roots(classes, trees, threshold)), FIRST_LEVELS, None
+    tokens = classes.select("name", "tokens")
+    nodes, found = durable(roots(classes, trees, threshold)), None
     while True:
         sizes = durable(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("least")).filter(F.col("n") > 1))
         small = nodes.join(sizes.filter(F.col("n") <= NODE_LIMIT).select("path"), "path")
@@ -167,14 +173,79 @@ def leaves(classes: DataFrame, trees: range, threshold: float) -> DataFrame:
         if large.isEmpty():
             return found
         members = nodes.join(large, "path")
-        if depth >= DEPTH:
-            blocks = F.ceil(F.col("n") / F.lit(NODE_LIMIT - 1)).cast("long")
-            block = F.pmod(F.xxhash64("name", "path"), blocks)
-            # The smallest member stands in every block of its node.
-            dealt = members.filter(F.col("name") != F.col("least")).select(F.xxhash64("path", block).alias("path"), "name")
-            held = large.select(F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "path", F.col("least").alias("name"))
-            return found.unionByName(dealt).unionByName(held.select(F.xxhash64("path", F.col("block")).alias("path"), "name"))
-        nodes, depth = durable(children(members.select("path", "name"), classes, threshold)), depth + MORE_LEVELS
+        blocks = F.ceil(F.col("n") / F.lit(NODE_LIMIT - 1)).cast("long")
+        block = F.pmod(F.xxhash64("name", "path"), blocks)
+        # The smallest member stands in every block of its node.
+        dealt = members.filter(F.col("name") != F.col("least")).select(F.xxhash64("path", block).alias("path"), "name")
+        held = large.select(F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "path", F.col("least").alias("name"))
+        found = found.unionByName(dealt).unionByName(held.select(F.xxhash64("path", F.col("block")).alias("path"), "name"))
+        pivots = large.join(tokens.withColumnsRenamed({"name": "least", "tokens": "pivot"}), "least").select("path", "pivot")
+        nodes = durable(children(members.select("path", "name").join(tokens, "name").join(pivots, "path"), threshold))
+
+
+def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches sorted by their first column as runs of whole groups, with the groups' bounds."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.asarray(batch.column(0))
+        if kept and kept[-1].column(0)[-1].as_py() != keys[0]:
+            yield whole_groups(kept)
+            kept = []
+        last = int(np.flatnonzero(keys != keys[-1])[-1]) + 1 if keys[0] != keys[-1] else 0
+        if last:
+            yield whole_groups([*kept, batch.slice(0, last)])
+            kept = []
+        kept.append(batch.slice(last))
+    if kept:
+        yield whole_groups(kept)
+
+
+def whole_groups(parts: list[pa.RecordBatch]) -> tuple[pa.RecordBatch, np.ndarray]:
+    batch = pa.concat_batches(parts)
+    keys = np.asarray(batch.column(0))
+    return batch, np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))
+
+
+def cluster_name(names: np.ndarray, member: np.ndarray) -> np.ndarray:
+    """One name per line for the members marked in it, whatever their order."""
+    parts = np.where(member, mix(names.view(np.uint64), 41), np.uint64(0))
+    return mix(np.bitwise_xor.reduce(parts, axis=-1) + member.sum(-1).astype(np.uint64)).view(np.int64)
+
+
+def small_clusters(names: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Clusters of many groups of one size: ``names`` (groups, size), ``tokens`` (groups, size, coordinates)."""
+    size = names.shape[1]
+    near = np.zeros((len(names), size, size), np.float32)
+    for i in range(size):
+        near[:, i, i] = 1
+        for j in range(i):
+            near[:, i, j] = near[:, j, i] = (tokens[:, i] == tokens[:, j]).mean(1) >= SKETCH_SHARE
+    for _ in range(int(np.ceil(np.log2(size)))):
+        near = (near @ near > 0).astype(np.float32)
+    first = near.argmax(2)
+    for i in range(size - 1):
+        member = first == i
+        lines = np.flatnonzero(member.sum(1) > 1)
+        if len(lines):
+            label = cluster_name(names[lines], member[lines])
+            at, place = np.nonzero(member[lines])
+            yield label[at], names[lines][at, place]
+
+
+def large_clusters(names: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    left = np.arange(len(names))
+    while len(left):
+        queue, left, group = [left[0]], left[1:], [left[0]]
+        while queue and len(left):
+            near = (tokens[left] == tokens[queue.pop()]).mean(1) >= SKETCH_SHARE
+            queue += left[near].tolist()
+            group += left[near].tolist()
+            left = left[~near]
+        if len(group) > 1:
+            own = names[group]
+            yield np.repeat(cluster_name(own, np.ones(len(own), bool)), len(own)), own
 
 
 def candidates(nodes: DataFrame, classes: DataFrame) -> DataFrame:
@@ -183,27 +254,24 @@ def candidates(nodes: DataFrame, classes: DataFrame) -> DataFrame:
     The cluster is named by its members, so what several trees find is there once.
     """
 
-    def compare(node: pd.DataFrame) -> pd.DataFrame:
-        names = node["name"].to_numpy()
-        tokens = np.frombuffer(b"".join(node["tokens"]), np.uint32).reshape(len(names), COORDINATES)
-        left = np.arange(len(names))
-        clusters, members = [], []
-        while len(left):
-            queue, left, group = [left[0]], left[1:], [left[0]]
-            while queue and len(left):
-                near = (tokens[left] == tokens[queue.pop()]).mean(1) >= SKETCH_SHARE
-                queue += left[near].tolist()
-                group += left[near].tolist()
-                left = left[~near]
-            if len(group) > 1:
-                own = np.sort(names[group])
-                label = int(mix(np.array([np.bitwise_xor.reduce(mix(own.view(np.uint64), 41)) + np.uint64(len(own))]))[0].astype(np.int64))
-                clusters += [label] * len(own)
-                members += own.tolist()
-        return pd.DataFrame({"cluster": np.array(clusters, np.int64), "name": np.array(members, np.int64)})
-
-    full = nodes.join(classes.select("name", "tokens"), "name")
-    return full.groupBy("path").applyInPandas(compare, "cluster bigint, name bigint").distinct()
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, bounds in grouped(batches):
+            names, tokens = np.asarray(batch.column(1)), packed_tokens(batch.column(2))
+            sizes = np.diff(bounds)
+            found = []
+            for size in range(2, SMALL_GROUP + 1):
+                starts = bounds[:-1][sizes == size]
+                if len(starts):
+                    at = starts[:, None] + np.arange(size)
+                    found += small_clusters(names[at], tokens[at])
+            for k in np.flatnonzero(sizes > SMALL_GROUP):
+                found += large_clusters(names[bounds[k] : bounds[k + 1]], tokens[bounds[k] : bounds[k + 1]])
+            for labels, members in found:
+                yield pa.RecordBatch.from_arrays([pa.array(labels), pa.array(members)], ["cluster", "name"])
+
+    full = nodes.join(classes.select("name", "tokens"), "name").select("path", "name", "tokens")
+    placed = full.repartition(parts_of(nodes), "path").sortWithinPartitions("path")
+    return placed.mapInArrow(compare, "cluster bigint, name bigint").distinct()
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
@@ -236,33 +304,51 @@ def confirmed(clusters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     already and are not compared with each other.
     """
 
-    def compare(cluster: pd.DataFrame) -> pd.DataFrame:
-        names, label = cluster["name"].to_numpy(), pd.factorize(cluster["component"])[0]
-        sets = [unpacked(body) for body in cluster["values"]]
-        sizes = np.array([len(s) for s in sets])
-        flat, bounds = np.concatenate(sets), np.concatenate(([0], np.cumsum(sizes)))
-        links = []
-        # Large sets with the most copies first: the first pivots connect nearly everything.
-        for k in range(len(names)):
-            others = np.flatnonzero(label != label[k])
-            others = others[(100 * np.minimum(sizes[others], sizes[k]) >= percent * np.maximum(sizes[others], sizes[k]))]
-            if not len(others):
-                continue
-            if len(others) * 4 < len(names):
-                common = np.array([np.isin(sets[o], sets[k], assume_unique=True).sum() for o in others])
-            else:
-                place = np.minimum(np.searchsorted(sets[k], flat), sizes[k] - 1)
-                hits = np.concatenate(([0], np.cumsum(sets[k][place] == flat)))
-                common = (hits[bounds[1:]] - hits[bounds[:-1]])[others]
-            near = others[100 * common >= percent * (sizes[others] + sizes[k] - common)]
-            for o in near:
-                if label[o] != label[k]:
-                    links.append((names[k], names[o]))
-                    label[label == label[o]] = label[k]
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, bounds in grouped(batches):
+            names, labels, bodies = np.asarray(batch.column(1)), np.asarray(batch.column(2)), batch.column(3)
+            links = []
+            for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                sets = [unpacked(bodies[i].as_py()) for i in range(low, high)]
+                links += linked(names[low:high].tolist(), labels[low:high].copy(), sets, percent)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     full = clusters.join(sets, "name").select("cluster", "name", "component", "values")
-    return full.groupBy("cluster").applyInPandas(compare, "a bigint, b bigint")
+    placed = full.repartition(parts_of(clusters), "cluster").sortWithinPartitions("cluster", "name")
+    return placed.mapInArrow(compare, "a bigint, b bigint")
+
+
+def linked(names: list[int], label: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that join the components ``label`` of a cluster; equal labels are not compared."""
+    sizes = np.array([len(s) for s in sets])
+    flat = bounds = None
+    links = []
+    for k in range(len(names)):
+        others = np.flatnonzero(label != label[k])
+        others = others[100 * np.minimum(sizes[others], sizes[k]) >= percent * np.maximum(sizes[others], sizes[k])]
+        if not len(others):
+            continue
+        if len(others) <= SMALL_GROUP:
+            common = np.array([in_common(sets[o], sets[k]) for o in others])
+        else:
+            if flat is None:
+                flat, bounds = np.concatenate(sets), np.concatenate(([0], np.cumsum(sizes)))
+            place = np.minimum(np.searchsorted(sets[k], flat), sizes[k] - 1)
+            hits = np.concatenate(([0], np.cumsum(sets[k][place] == flat)))
+            common = (hits[bounds[1:]] - hits[bounds[:-1]])[others]
+        for o in others[100 * common >= percent * (sizes[others] + sizes[k] - common)]:
+            if label[o] != label[k]:
+                links.append((names[k], names[o]))
+                label[label == label[o]] = label[k]
+    return links
+
+
+def in_common(one: np.ndarray, two: np.ndarray) -> int:
+    """Common members of two sets without repeats."""
+    both = np.concatenate((one, two))
+    both.sort()
+    return int((both[1:] == both[:-1]).sum())
 
 
 def near_components(
@@ -293,7 +379,8 @@ def near_components(
         sets = durable(full_sets(docs, wanted, key, text, size))
         new = durable(confirmed(clusters, sets, percent))
         links = new if links is None else links.unionByName(new)
-        known = components(links)
+        if known is None or not new.isEmpty():
+            known = components(links)
     labelled = classes.select("name", "key").join(known.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
     least = labelled.groupBy("root").agg(F.min("key").alias("component_id"))
     named = durable(labelled.join(least, "root").select("name", "component_id"))
