@@ -39,6 +39,8 @@ BLANK_MARK = "▁"
 # At most about this many words, and pairs of pieces, are remembered in a process.
 REMEMBERED = 400_000
 REMEMBERED_LENGTH = 40
+# Ids that are turned into bytes at a time.
+GATHERED = 500_000
 CHUNKS = re.compile(f"{BLANK_MARK}*[^{BLANK_MARK}]+|{BLANK_MARK}+")
 # The same where a line feed is not in the vocabulary, so that no piece crosses it either.
 LINE_CHUNKS = re.compile(f"{BLANK_MARK}*[^{BLANK_MARK}\n]+|{BLANK_MARK}+|\n")
@@ -350,7 +352,11 @@ class Encoder:
 
 def decode(pieces: Pieces, ids: list[int]) -> str:
     """The text of the ids; the blank that encoding puts in front is taken off."""
-    text = b"".join(map(pieces.raw.__getitem__, ids)).decode("utf-8", "replace").replace(BLANK_MARK, " ")
+    return without_front(b"".join(map(pieces.raw.__getitem__, ids)))
+
+
+def without_front(raw: bytes) -> str:
+    text = raw.decode("utf-8", "replace").replace(BLANK_MARK, " ")
     return text[1:] if text.startswith(" ") else text
 
 
@@ -386,6 +392,28 @@ def decode_ids(rows: DataFrame, model_path: str, ids: str = "ids", output: str =
     def decoded(column: pa.Array) -> pa.Array:
         if not pieces:
             pieces.append(Pieces(model_path))
-        return pa.array([decode(pieces[0], one.as_py()) if one.is_valid else None for one in column], pa.string())
+        return pa.array(decode_lists(pieces[0], column), pa.string())
 
     return kept.withColumn(output, decoded(F.col(ids)))
+
+
+def decode_lists(pieces: Pieces, column: pa.Array) -> list[str | None]:
+    """Texts of many lists of ids: the bytes of all pieces are gathered in one step."""
+    joined = np.frombuffer(b"".join(pieces.raw), np.uint8)
+    sizes = np.array([len(raw) for raw in pieces.raw])
+    starts = np.cumsum(sizes) - sizes
+    found: list[str | None] = []
+    bounds = np.asarray(column.offsets).astype(np.int64)
+    first = 0
+    while first < len(column):
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + GATHERED, side="right")) - 1)
+        last = min(last, len(column))
+        ids = np.asarray(column.values)[bounds[first] : bounds[last]]
+        ends = np.concatenate(([0], np.cumsum(sizes[ids])))
+        body = joined[np.repeat(starts[ids] - ends[:-1], sizes[ids]) + np.arange(ends[-1])]
+        cuts = ends[bounds[first : last + 1] - bounds[first]]
+        for row in range(first, last):
+            raw = body[cuts[row - first] : cuts[row - first + 1]].tobytes()
+            found.append(without_front(raw) if column[row].is_valid else None)
+        first = last
+    return found
