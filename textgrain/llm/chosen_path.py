@@ -245,7 +245,7 @@ def large_clusters(names: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[np.n
             left = left[~near]
         if len(group) > 1:
             own = names[group]
-            yield np.repeat(cluster_name(own, np.ones(len(own), bool)), len(own)), own
+            yield np.repeat(cluster_name(own[None], np.ones((1, len(own)), bool)), len(own)), own
 
 
 def candidates(nodes: DataFrame, classes: DataFrame) -> DataFrame:

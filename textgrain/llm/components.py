@@ -11,7 +11,8 @@ from textgrain.session import durable
 def large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest node around it."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    # Written, so that the join's sides are plain exchanges and a hub's links can be split.
+    least = durable(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
     return both.join(least, "a").filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textgrain.llm import oracles
 from textgrain.llm.chat_windows import chat_windows, read_windows
 from textgrain.llm.chosen_path import near_components
 from textgrain.llm.common import read_table
@@ -96,4 +97,8 @@ QUERIES: dict[str, Query] = {
 }
 
 # DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat_windows": oracles.CHAT_WINDOWS,
+    "op8_chosen_path": oracles.CHOSEN_PATH,
+    "op9_warc": oracles.WARC,
+}

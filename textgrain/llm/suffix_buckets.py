@@ -214,8 +214,11 @@ def suffixes(parts: DataFrame, width: int) -> DataFrame:
 
 def repeated_suffixes(rows: DataFrame, width: int, gram: int, block: int) -> DataFrame:
     """``(id, first, last)``: ranges of places where a repeated string starts, per distinct text."""
-    shared = located(rows, width, gram).groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("name")
-    listed = durable(located(rows, width, gram).join(shared, "name").groupBy("text").agg(F.collect_set("anchor").alias("shared")))
+    # Counts are written before they are joined: both sides of the join are then plain
+    # exchanges, of which a hot bucket's can be split.
+    shared = durable(located(rows, width, gram).groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("name"))
+    found = durable(located(rows, width, gram).join(shared, "name").select("text", "anchor"))
+    listed = found.groupBy("text").agg(F.collect_set("anchor").alias("shared"))
     least = rows.groupBy("id").agg(F.min("key").alias("least"))
     chosen = durable(listed.withColumnRenamed("text", "id").join(least, "id"))
     released(rows.sparkSession)
@@ -224,7 +227,7 @@ def repeated_suffixes(rows: DataFrame, width: int, gram: int, block: int) -> Dat
     parts = durable(regions(one, width, gram))
     released(rows.sparkSession)
     # A core with one block is finished; the others are few.
-    cores = blocks(parts, width, block).groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("core")
+    cores = durable(blocks(parts, width, block).groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("core"))
     held = durable(blocks(parts, width, block).join(cores, "core"))
     covers = held.groupBy("core", "cover").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "first", "last")).alias("at"))
     covers = durable(covers)
@@ -234,7 +237,7 @@ def repeated_suffixes(rows: DataFrame, width: int, gram: int, block: int) -> Dat
     wanted = covers.join(mixed, "core").select("at.*").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("ranges"))
     wanted = wanted.select("id", F.col("ranges.first").alias("low"), F.col("ranges.last").alias("high"))
     single = durable(suffixes(parts.join(wanted, "id"), width))
-    again = single.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("name")
+    again = durable(single.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("name"))
     found = single.join(again, "name").select("id", "first", F.col("first").alias("last"))
     return whole.unionByName(found)
 
