@@ -34,6 +34,11 @@ HEADLINES = (
     "binary_metrics",
     "linear_score",
     "svm_fit_eval",
+    "ngram_profile",
+    "grid_cv",
+    "learning_curve",
+    "representation_compare",
+    "epoch_losses",
 )
 
 

@@ -88,3 +88,11 @@ def test_softmax(spark):
     rows = df.select("doc_id", vec.softmax("logits").alias("p")).withColumn("k", vec.argmax("p")).orderBy("doc_id").collect()
     np.testing.assert_allclose(rows[0]["p"], [1 / (1 + np.e), np.e / (1 + np.e)])
     assert [r["k"] for r in rows] == [1, 0]
+
+
+def test_truncated_mean_covers_the_first_tokens(spark):
+    docs = spark.createDataFrame([(0, "a b a c"), (1, "zz"), (2, "")], "doc_id long, text string")
+    vectors = spark.createDataFrame([("a", [3.0, 0.0]), ("b", [0.0, 4.0]), ("c", [9.0, 9.0])], "token string, vec array<double>")
+    rows = pooling.truncated_mean_pool(docs, vectors, 2, F.split("text", " "), length=3).orderBy("doc_id").collect()
+    assert [round(x, 9) for x in rows[0]["vec"]] == [round(6 / 52**0.5, 9), round(4 / 52**0.5, 9)]
+    assert rows[1]["vec"] == [0.0, 0.0] and rows[2]["vec"] == [0.0, 0.0]

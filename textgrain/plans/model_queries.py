@@ -293,6 +293,7 @@ def dense_tables(spark, folder) -> dict[str, DataFrame]:
     direction = pooling.first_direction(sif.filter(F.col("split") == "train"))
     return {
         "encoder": hooks.encode_texts(docs, token_hash_encoder, keep),
+        "masked_mean": pooling.truncated_mean_pool(docs, words, EMBEDDING_WIDTH, runs, keep=keep),
         "mean": pooling.sentence_vectors(docs, words, EMBEDDING_WIDTH, runs, keep),
         "mean_std": pooling.mean_std_pool(docs, words, EMBEDDING_WIDTH, tx.alpha_words("text"), keep),
         "sif": pooling.remove_direction(sif, direction),
