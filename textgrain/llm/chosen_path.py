@@ -42,7 +42,7 @@ from textgrain.session import durable
 COORDINATES = 64
 TREES, FIRST_TREES = 12, 3
 FIRST_LEVELS, MORE_LEVELS = 2, 4
-NODE_LIMIT = 1024
+NODE_LIMIT = 512
 # Sketches that agree in this part of their tokens are candidates: four deviations below 0.8.
 SKETCH_SHARE = 0.58
 # Groups of up to this many members are compared many groups at a time.

@@ -11,8 +11,7 @@ from textgrain.session import durable
 def large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest node around it."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    # Written, so that the join's sides are plain exchanges and a hub's links can be split.
-    least = durable(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
     return both.join(least, "a").filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
@@ -34,10 +33,11 @@ def components(links: DataFrame) -> DataFrame:
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
-    seen = None
-    while True:
+    while not links.isEmpty():
         links = durable(small_star(durable(large_star(links).distinct())).distinct())
-        state = links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if tuple(state) == seen:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = tuple(state)
+        # Finished when every node has one link, to a node that has none.
+        doubled = links.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+        chained = links.join(links.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
+        if doubled.isEmpty() and chained.isEmpty():
+            break
+    return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
