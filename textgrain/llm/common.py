@@ -9,7 +9,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Texts are processed in runs of about this many bytes; a longer text is a run of its own.
 CHUNK_BYTES = 2 << 20

@@ -33,7 +33,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 # The same classes among the characters below U+0250, for the faster matcher.
 LATIN_LETTER = r"A-Za-zªµºÀ-ÖØ-öø-ɏ"
 LATIN_NUMBER = r"0-9²³¹¼-¾"
-LATIN_SPACE = r"\t-\r \u0085 "
+LATIN_SPACE = r"\t-\r \u0085\u00a0"
 # At most about this many pre-tokens are remembered in a process.
 REMEMBERED = 500_000
 
