@@ -6,7 +6,10 @@ import atexit
 import os
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +48,47 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+class Scratch:
+    """Tables written by ``durable`` inside a ``with`` block of ``scratch``."""
+
+    def __init__(self) -> None:
+        self.paths: dict[str, SparkSession] = {}
+        self.kept: dict[str, SparkSession] = {}
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Leave the table behind ``df`` in place: what the block returns still reads it.
+
+        A block around this one then decides about the table.
+        """
+        path = getattr(df, "_durable_path", None)
+        if path in self.paths:
+            self.kept[path] = self.paths.pop(path)
+        return df
+
+    def clear(self) -> None:
+        for path, spark in self.paths.items():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        self.paths.clear()
+
+
+_open = threading.local()
+
+
+@contextmanager
+def scratch() -> Iterator[Scratch]:
+    """Delete, at the end of the block, the tables that this thread wrote in it and did not keep."""
+    blocks = _open.__dict__.setdefault("blocks", [])
+    blocks.append(Scratch())
+    try:
+        yield blocks[-1]
+    finally:
+        done = blocks.pop()
+        done.clear()
+        if blocks:
+            blocks[-1].paths.update(done.kept)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
@@ -54,4 +98,8 @@ def durable(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._durable_path = path
+    for block in getattr(_open, "blocks", ())[-1:]:
+        block.paths[path] = df.sparkSession
+    return table
