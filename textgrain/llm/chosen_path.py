@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from textgrain.llm.common import LOWER_CODES, mix, parts_of, prefix_hash, span_hash, text_runs, word_spans
 from textgrain.llm.components import components
 from textgrain.llm.string_tiling import run_hashes
-from textgrain.session import durable
+from textgrain.session import durable, scratch
 
 COORDINATES = 64
 TREES, FIRST_TREES = 12, 3
@@ -359,31 +359,32 @@ def near_components(
     Rows are linked if 100 * intersection >= ``percent`` * union of their shingle sets;
     ``component_id`` is the smallest key that links lead to.
     """
-    threshold = percent / 100
-    rows = durable(sketches(docs, key, text, size).repartition(parts_of(docs)))
-    classes = durable(
-        rows.filter(F.col("name").isNotNull()).groupBy("name").agg(F.min("key").alias("key"), F.first("tokens").alias("tokens"))
-    )
-    links = None
-    known = None
-    sets = None
-    for trees in (range(FIRST_TREES), range(FIRST_TREES, TREES)):
-        found = durable(candidates(leaves(classes, trees, threshold), classes))
-        if known is None:
-            clusters = found.withColumn("component", F.col("name"))
-        else:
-            clusters = found.join(known.withColumnRenamed("node", "name"), "name", "left").withColumn("component", F.coalesce("root", "name")).drop("root")
-            mixed = clusters.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(F.col("low") != F.col("high")).select("cluster")
-            clusters = durable(clusters.join(mixed, "cluster"))
-        wanted = clusters.select("name").distinct().join(classes.select("name", "key"), "name")
-        sets = durable(full_sets(docs, wanted, key, text, size))
-        new = durable(confirmed(clusters, sets, percent))
-        links = new if links is None else links.unionByName(new)
-        if known is None or not new.isEmpty():
-            known = components(links)
-    labelled = classes.select("name", "key").join(known.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
-    least = labelled.groupBy("root").agg(F.min("key").alias("component_id"))
-    named = durable(labelled.join(least, "root").select("name", "component_id"))
+    with scratch() as tables:
+        threshold = percent / 100
+        rows = tables.keep(durable(sketches(docs, key, text, size).repartition(parts_of(docs))))
+        classes = durable(
+            rows.filter(F.col("name").isNotNull()).groupBy("name").agg(F.min("key").alias("key"), F.first("tokens").alias("tokens"))
+        )
+        links = None
+        known = None
+        sets = None
+        for trees in (range(FIRST_TREES), range(FIRST_TREES, TREES)):
+            found = durable(candidates(leaves(classes, trees, threshold), classes))
+            if known is None:
+                clusters = found.withColumn("component", F.col("name"))
+            else:
+                clusters = found.join(known.withColumnRenamed("node", "name"), "name", "left").withColumn("component", F.coalesce("root", "name")).drop("root")
+                mixed = clusters.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(F.col("low") != F.col("high")).select("cluster")
+                clusters = durable(clusters.join(mixed, "cluster"))
+            wanted = clusters.select("name").distinct().join(classes.select("name", "key"), "name")
+            sets = durable(full_sets(docs, wanted, key, text, size))
+            new = durable(confirmed(clusters, sets, percent))
+            links = new if links is None else links.unionByName(new)
+            if known is None or not new.isEmpty():
+                known = components(links)
+        labelled = classes.select("name", "key").join(known.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
+        least = labelled.groupBy("root").agg(F.min("key").alias("component_id"))
+        named = tables.keep(durable(labelled.join(least, "root").select("name", "component_id")))
     return rows.select("key", "n", "name").join(named, "name", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "key").alias("component_id"),

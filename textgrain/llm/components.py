@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgrain.session import durable
+from textgrain.session import durable, scratch
 
 
 def large_star(links: DataFrame) -> DataFrame:
@@ -34,7 +34,8 @@ def components(links: DataFrame) -> DataFrame:
         .distinct()
     )
     while not links.isEmpty():
-        links = durable(small_star(durable(large_star(links).distinct())).distinct())
+        with scratch() as tables:
+            links = tables.keep(durable(small_star(durable(large_star(links).distinct())).distinct()))
         # Finished when every node has one link, to a node that has none.
         doubled = links.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
         chained = links.join(links.select(F.col("a").alias("b")).distinct(), "b", "left_semi")

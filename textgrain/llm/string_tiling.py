@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgrain.llm.common import BYTE_CODES, mix, prefix_hash, span_hash, text_runs, word_spans
-from textgrain.session import durable
+from textgrain.session import durable, scratch
 
 MIN_MATCH = 5
 THRESHOLD = 0.5
@@ -227,11 +227,13 @@ def contamination(
     threshold: float = THRESHOLD, min_match: int = MIN_MATCH,
 ) -> DataFrame:
     """``(key, item_key, coverage, n_tiles, contaminated)`` per row: the item covered best."""
-    pairs = tiled_pairs(docs, items, key, text, item_key, item_text, min_match)
-    best = pairs.groupBy(F.col(key).alias("_key")).agg(
-        F.min(F.struct((-F.col("coverage")).alias("less"), F.col(item_key).alias("item"), F.col("n_tiles").alias("n"))).alias("best")
-    )
-    return docs.select(key).join(durable(best), F.col(key).eqNullSafe(F.col("_key")), "left").select(
+    with scratch() as tables:
+        pairs = tiled_pairs(docs, items, key, text, item_key, item_text, min_match)
+        best = pairs.groupBy(F.col(key).alias("_key")).agg(
+            F.min(F.struct((-F.col("coverage")).alias("less"), F.col(item_key).alias("item"), F.col("n_tiles").alias("n"))).alias("best")
+        )
+        best = tables.keep(durable(best))
+    return docs.select(key).join(best, F.col(key).eqNullSafe(F.col("_key")), "left").select(
         key, F.col("best.item").alias(item_key), F.coalesce(-F.col("best.less"), F.lit(0.0)).alias("coverage"),
         F.coalesce("best.n", F.lit(0)).alias("n_tiles"), (F.coalesce(-F.col("best.less"), F.lit(0.0)) >= threshold).alias("contaminated"),
     )

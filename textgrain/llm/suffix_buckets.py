@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textgrain.llm.common import mix, prefix_hash, released, span_hash, text_runs
-from textgrain.session import durable
+from textgrain.session import durable, scratch
 
 WIDTH = 200
 GRAM = 72
@@ -262,8 +262,10 @@ def removal_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", widt
     )
     copies = rows.filter(F.col("n") >= width).groupBy("id", "n").agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
     whole = copies.select("id", F.lit(0).alias("first"), (F.col("n") - width).cast("int").alias("last"))
-    ranges = repeated_suffixes(rows, width, gram, block).unionByName(whole)
-    spans = durable(ranges.groupBy("id").agg(F.collect_set(F.struct("first", "last")).alias("ranges")).mapInArrow(spanner(width), "id bigint, spans array<struct<start: int, stop: int>>"))
+    with scratch() as tables:
+        ranges = repeated_suffixes(rows, width, gram, block).unionByName(whole)
+        listed = ranges.groupBy("id").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
+        spans = tables.keep(durable(listed.mapInArrow(spanner(width), "id bigint, spans array<struct<start: int, stop: int>>")))
     released(docs.sparkSession)
     return named.join(spans.select(F.col("id").alias("__repeat_id"), F.col("spans").alias("__repeat_spans")), "__repeat_id", "left").drop("__repeat_id")
 
