@@ -37,7 +37,8 @@ from textgrain.llm.common import KeyTable, text_runs
 
 BLANK_MARK = "▁"
 # At most about this many words, and pairs of pieces, are remembered in a process.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+REMEMBERED_PAIRS = 100_000
 REMEMBERED_LENGTH = 40
 # Ids that are turned into bytes at a time.
 GATHERED = 500_000
@@ -180,15 +181,15 @@ class WordLattice:
             found[missing] = np.array(answers, np.int32)[np.searchsorted(new, keys[missing])]
         return found > 0
 
-    def encode(self, words: list[str]) -> dict[str, list[int]]:
-        """Ids of words that hold vocabulary characters only; others are left out."""
+    def encode(self, words: list[str]) -> dict[str, bytes]:
+        """Ids, as packed numbers, of words of vocabulary characters only; others are left out."""
         words = sorted(words, key=len)
-        found: dict[str, list[int]] = {}
+        found: dict[str, bytes] = {}
         for first in range(0, len(words), 8192):
             found |= self.encode_batch(words[first : first + 8192])
         return found
 
-    def encode_batch(self, words: list[str]) -> dict[str, list[int]]:
+    def encode_batch(self, words: list[str]) -> dict[str, bytes]:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         sums = self.prefixes(words)
         last = np.full(sums.shape, NONE, np.int32)
@@ -217,9 +218,12 @@ class WordLattice:
         return self.rows(words, np.array(columns[::-1]).T, last, sizes)
 
     @staticmethod
-    def rows(words: list[str], ids: np.ndarray, last: np.ndarray, sizes: np.ndarray) -> dict[str, list[int]]:
+    def rows(words: list[str], ids: np.ndarray, last: np.ndarray, sizes: np.ndarray) -> dict[str, bytes]:
         whole = last[np.arange(len(words)), sizes] != NONE
-        return {word: [x for x in row if x >= 0] for word, row, fine in zip(words, ids.tolist(), whole.tolist()) if fine}
+        real = ids >= 0
+        body = ids[real].astype(np.int32).tobytes()
+        ends = (4 * np.cumsum(real.sum(1))).tolist()
+        return {word: body[low:high] for word, low, high, fine in zip(words, [0, *ends], ends, whole.tolist()) if fine}
 
 
 class Lattice:
@@ -261,7 +265,7 @@ class Lattice:
                     continue
                 fits = follows.get((left, piece))
                 if fits is None:
-                    if len(follows) >= REMEMBERED:
+                    if len(follows) >= REMEMBERED_PAIRS:
                         follows.clear()
                     fits = follows[left, piece] = pieces.may_follow(left, piece)
                 if fits:
@@ -311,14 +315,21 @@ def encode_chunk(pieces: Pieces, chunk: str) -> list[int]:
     return lattice.feed(chunk) + lattice.close()
 
 
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
 class Encoder:
-    """Encodes texts; remembers the ids of words between boundaries that no piece spans."""
+    """Encodes texts; remembers the ids of words between boundaries that no piece spans.
+
+    Ids are handled as packed 32-bit numbers: a text's are the words' put together.
+    """
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         self.lattice = WordLattice(pieces)
         self.pattern = CHUNKS if "\n" in pieces.ids else LINE_CHUNKS
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
 
     def chunks(self, text: str) -> list[str]:
         if not text:
@@ -327,28 +338,31 @@ class Encoder:
         return [marked] if self.pieces.spans_blank else self.pattern.findall(marked)
 
     def learn(self, chunks: set[str]) -> None:
+        """Remember the chunks; the long ones only until the next texts."""
         short = [c for c in chunks if 1 < len(c) <= REMEMBERED_LENGTH and not c.startswith(2 * BLANK_MARK)]
         found = self.lattice.encode(short) if short else {}
         for chunk in chunks:
-            if chunk not in found and len(chunk) <= REMEMBERED_LENGTH:
-                found[chunk] = encode_chunk(self.pieces, chunk)
+            if chunk not in found:
+                found[chunk] = packed(encode_chunk(self.pieces, chunk))
         self.words |= found
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode_packed(self, texts: list[str]) -> list[bytes]:
         split = [self.chunks(text) for text in texts]
         new = set().union(*split).difference(self.words)
         if len(self.words) + len(new) > REMEMBERED:
             self.words = {}
             new = set().union(*split)
         self.learn(new)
-        get, found = self.words.get, []
-        for chunks in split:
-            ids: list[int] = []
-            for chunk in chunks:
-                ids += get(chunk) or encode_chunk(self.pieces, chunk)
-            found.append(ids)
+        get = self.words.__getitem__
+        found = [b"".join(map(get, chunks)) for chunks in split]
+        for chunk in new:
+            if len(chunk) > REMEMBERED_LENGTH:
+                del self.words[chunk]
         return found
 
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [np.frombuffer(ids, np.int32).tolist() for ids in self.encode_packed(texts)]
+
 
 def decode(pieces: Pieces, ids: list[int]) -> str:
     """The text of the ids; the blank that encoding puts in front is taken off."""
@@ -369,14 +383,11 @@ def encode_texts(docs: DataFrame, model_path: str, key: str = "doc_id", text: st
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "")
             for first, last, _, offsets in text_runs(texts):
-                flat: list[int] = []
-                bounds = [0]
-                for found in encoder.encode(texts.slice(first, last - first).to_pylist()):
-                    flat += found
-                    bounds.append(len(flat))
-                ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.array(flat, np.int32)))
+                found = encoder.encode_packed(texts.slice(first, last - first).to_pylist())
+                bounds = np.concatenate(([0], np.cumsum([len(ids) // 4 for ids in found]))).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.frombuffer(b"".join(found), np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first), pa.array(np.diff(offsets)), pa.array(np.diff(bounds), pa.int64()), ids], ["key", "n_bytes", "n_tokens", "ids"]
+                    [batch.column(0).slice(first, last - first), pa.array(np.diff(offsets)), pa.array(np.diff(bounds).astype(np.int64)), ids], ["key", "n_bytes", "n_tokens", "ids"]
                 )
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))

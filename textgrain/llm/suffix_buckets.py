@@ -43,6 +43,8 @@ from textgrain.session import durable, scratch
 WIDTH = 200
 GRAM = 72
 BLOCK = 32
+# Texts are taken about this many bytes at a time.
+RUN_BYTES = 1 << 20
 # Places are numbered within a run of texts by this many bits.
 PLACE_BITS = 24
 
@@ -109,7 +111,7 @@ def located(rows: DataFrame, width: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = np.asarray(batch.column(0))
-            for start, _, raw, offsets in text_runs(batch.column(1)):
+            for start, _, raw, offsets in text_runs(batch.column(1), RUN_BYTES):
                 owner, anchor, _, _, names = text_anchors(raw, offsets, width, gram)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names.view(np.int64)), pa.array(texts[start + owner]), pa.array(anchor.astype(np.int32))], ["name", "text", "anchor"]
@@ -127,7 +129,7 @@ def regions(rows: DataFrame, width: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, stop, raw, offsets in text_runs(batch.column(1)):
+            for start, stop, raw, offsets in text_runs(batch.column(1), RUN_BYTES):
                 owner, anchor, first, last, _ = text_anchors(raw, offsets, width, gram)
                 bounds = np.searchsorted(owner, np.arange(stop - start + 1))
                 columns: list[list] = [[] for _ in range(6)]
