@@ -28,4 +28,4 @@ def test_query_equals_its_sql(spark, tables, name):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_returns_every_row(spark, tables, name):
     sql = ROWS.get(name.split("_")[0], "SELECT count(*) FROM documents")
-    assert QUERIES[name](spark, FOLDER).count() == tables.sql(sql).fetchone()[0]
+    assert QUERIES[name](spark, FOLDER).count() == tables.sql(sql).fetchall()[0][0]
