@@ -88,3 +88,28 @@ def test_components(spark):
 
 def test_empty_table(spark):
     assert near_components(spark.createDataFrame([], "doc_id long, text string"), size=2).count() == 0
+
+
+@pytest.mark.parametrize("limit", [chosen_path.NODE_LIMIT, 16])
+def test_a_large_node_equals_brute_force(spark, monkeypatch, limit):
+    """A family around one template: hardly anyone is linked with it, but many have a partner."""
+    monkeypatch.setattr(chosen_path, "NODE_LIMIT", limit)
+    source = random.Random(4)
+    template = [f"t{k}" for k in range(100)]
+
+    def changed(words, count, mark):
+        words = list(words)
+        for k, at in enumerate(source.sample(range(0, 100, 3), count)):
+            words[at] = f"{mark}x{k}"
+        return words
+
+    rows = [(0, " ".join(template))]
+    for k in range(350):
+        one = changed(template, source.choice((6, 7, 8)), f"a{k}")
+        two = changed(one, source.choice((3, 4, 5)), f"b{k}")
+        rows += [(len(rows), " ".join(one)), (len(rows) + 1, " ".join(two))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in near_components(docs, size=2).collect()), key=repr)
+    expected = brute(rows, 2)
+    assert len({component for _, _, component in expected}) > 100
+    assert got == expected

@@ -5,9 +5,11 @@ tokens.  In each of ``TREES`` independent trees a node picks coordinates at rand
 1 / threshold of them, and hands every document on to the child of its token there: a pair at
 the threshold is expected to meet in one child per level.  A node of at most ``NODE_LIMIT``
 documents is compared exhaustively.  A larger one is dealt into blocks that all hold its
-smallest document, its pivot; documents whose sketch is near the pivot's are connected
-through it and go no further, so a dense group of copies does not multiply, and the others
-also branch on.
+smallest document, its pivot, and dealt once more if that leaves several components.  Once
+confirmed links connect all of a node it is finished, so a dense group of copies does not
+multiply.  A node that still holds several components is compared by pairs of blocks, so that
+every two documents of different components meet; beyond ``PAIR_LIMIT`` such pairs all of its
+documents branch on instead, near the pivot or not.
 
 **Confirmation.**  Within a node the sketches pick connected candidates; their full sets are
 then compared exactly.  Only connectedness is asked for, so documents that are already
@@ -43,6 +45,8 @@ COORDINATES = 64
 TREES, FIRST_TREES = 12, 3
 FIRST_LEVELS, MORE_LEVELS = 2, 4
 NODE_LIMIT = 512
+# A node with at most this many pairs across its components is compared whole.
+PAIR_LIMIT = 1 << 25
 # Sketches that agree in this part of their tokens are candidates: four deviations below 0.8.
 SKETCH_SHARE = 0.58
 # Groups of up to this many members are compared many groups at a time.
@@ -147,40 +151,62 @@ def roots(classes: DataFrame, trees: range, threshold: float) -> DataFrame:
 
 
 def children(members: DataFrame, threshold: float) -> DataFrame:
-    """Nodes further down, of the members ``(path, name, tokens, pivot)`` that are not near the pivot."""
+    """``(path, name)``: nodes further down, of all members ``(path, name, tokens)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tokens = packed_tokens(batch.column(2))
-            far = np.flatnonzero((tokens == packed_tokens(batch.column(3))).mean(1) < threshold)
-            paths, owner = branched(np.asarray(batch.column(0)).view(np.uint64)[far], far, tokens, MORE_LEVELS, threshold)
+            paths, owner = np.asarray(batch.column(0)).view(np.uint64), np.arange(batch.num_rows)
+            paths, owner = branched(paths, owner, packed_tokens(batch.column(2)), MORE_LEVELS, threshold)
             yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), batch.column(1).take(pa.array(owner))], ["path", "name"])
 
-    return members.select("path", "name", "tokens", "pivot").mapInArrow(run, "path bigint, name bigint")
-
-
-def leaves(classes: DataFrame, trees: range, threshold: float) -> DataFrame:
-    """``(path, name)`` of the nodes to compare: two to ``NODE_LIMIT`` classes, or a block of a large one."""
-    tokens = classes.select("name", "tokens")
-    nodes, found = durable(roots(classes, trees, threshold)), None
-    while True:
-        sizes = durable(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("least")).filter(F.col("n") > 1))
-        small = nodes.join(sizes.filter(F.col("n") <= NODE_LIMIT).select("path"), "path")
-        large = sizes.filter(F.col("n") > NODE_LIMIT)
-        found = small if found is None else found.unionByName(small)
-        if large.isEmpty():
-            return found
-        members = nodes.join(large, "path")
-        blocks = F.ceil(F.col("n") / F.lit(NODE_LIMIT - 1)).cast("long")
-        block = F.pmod(F.xxhash64("name", "path"), blocks)
-        # The smallest member stands in every block of its node.
-        dealt = members.filter(F.col("name") != F.col("least")).select(F.xxhash64("path", block).alias("path"), "name")
-        held = large.select(F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "path", F.col("least").alias("name"))
-        found = found.unionByName(dealt).unionByName(held.select(F.xxhash64("path", F.col("block")).alias("path"), "name"))
-        pivots = large.join(tokens.withColumnsRenamed({"name": "least", "tokens": "pivot"}), "least").select("path", "pivot")
-        nodes = durable(children(members.select("path", "name").join(tokens, "name").join(pivots, "path"), threshold))
+    return members.select("path", "name", "tokens").mapInArrow(run, "path bigint, name bigint")
+
+
+def blocks_with_pivot(members: DataFrame, deal: int) -> DataFrame:
+    """``(path, name)``: the members ``(path, name)`` of nodes in blocks that all hold the node's smallest."""
+    nodes = members.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("least"))
+    nodes = nodes.withColumn("blocks", F.ceil(F.col("n") / F.lit(NODE_LIMIT - 1)).cast("long"))
+    block = F.pmod(F.xxhash64("name", "path", F.lit(deal)), F.col("blocks"))
+    dealt = members.select("path", "name").join(nodes, "path").filter(F.col("name") != F.col("least")).select("path", block.alias("block"), "name")
+    held = nodes.select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("least").alias("name"))
+    return dealt.unionByName(held).select(F.xxhash64("path", "block", F.lit(deal)).alias("path"), "name")
+
+
+def with_components(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows with ``name`` and the ``component`` that the links so far put it in."""
+    found = rows.join(known.withColumnRenamed("node", "name"), "name", "left")
+    return found.withColumn("component", F.coalesce("root", "name")).drop("root")
+
+
+def unfinished(members: DataFrame, known: DataFrame) -> DataFrame:
+    """``(path, name, component, n, minor, major)`` of the nodes that hold several components.
+
+    ``major`` is the node's largest component, ``minor`` counts the members outside it.
+    """
+    placed = with_components(members.select("path", "name"), known)
+    sizes = placed.groupBy("path", "component").agg(F.count(F.lit(1)).alias("held"))
+    nodes = sizes.groupBy("path").agg(F.sum("held").alias("n"), F.max(F.struct("held", "component")).alias("top"))
+    nodes = nodes.select("path", "n", (F.col("n") - F.col("top.held")).alias("minor"), F.col("top.component").alias("major"))
+    return placed.join(nodes.filter(F.col("minor") > 0), "path")
+
+
+def block_pairs(members: DataFrame) -> DataFrame:
+    """``(path, name)``: groups in which each member outside the largest component meets every member."""
+    half = NODE_LIMIT // 2
+    rows = F.ceil(F.col("n") / F.lit(half)).cast("long")
+    columns = F.ceil(F.col("minor") / F.lit(half)).cast("long")
+    at = members.withColumns({
+        "rows": rows, "columns": columns,
+        "row": F.pmod(F.xxhash64("name", F.lit("row")), rows), "column": F.pmod(F.xxhash64("name", F.lit("column")), columns),
+    })
+    zero = F.lit(0).cast("long")
+    one = at.select("path", "name", "row", F.explode(F.sequence(zero, F.col("columns") - 1)).alias("column"))
+    two = at.filter(F.col("component") != F.col("major")).withColumnRenamed("row", "own")
+    two = two.withColumn("row", F.explode(F.sequence(zero, F.col("rows") - 1))).filter(F.col("row") != F.col("own"))
+    pairs = one.unionByName(two.select("path", "name", "row", "column"))
+    return pairs.select(F.xxhash64("path", "row", "column", F.lit("pair")).alias("path"), "name")
 
 
 def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
@@ -351,6 +377,60 @@ def in_common(one: np.ndarray, two: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
+class Search:
+    """The links found so far and the components ``known`` from them."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, key: str, text: str, size: int, percent: int):
+        self.docs, self.classes, self.source, self.percent = docs, classes, (key, text, size), percent
+        self.links = self.known = self.sets = None
+
+    def trees(self, trees: range) -> None:
+        """Compare the nodes of the trees, level after level until none is left."""
+        threshold = self.percent / 100
+        nodes = durable(roots(self.classes, trees, threshold))
+        while True:
+            sizes = durable(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
+            small = nodes.join(sizes.filter(F.col("n") <= NODE_LIMIT).select("path"), "path")
+            large = sizes.filter(F.col("n") > NODE_LIMIT).select("path")
+            if large.isEmpty():
+                return self.compare(small)
+            members = durable(nodes.join(large, "path"))
+            self.compare(small.unionByName(blocks_with_pivot(members, 0)))
+            left = durable(unfinished(members, self.known))
+            if left.isEmpty():
+                return None
+            self.compare(blocks_with_pivot(left, 1))
+            left = durable(unfinished(left, self.known))
+            whole = F.col("n") * F.col("minor") <= PAIR_LIMIT
+            self.compare(block_pairs(left.filter(whole)))
+            wide = left.filter(~whole)
+            if wide.isEmpty():
+                return None
+            nodes = durable(children(wide.select("path", "name").join(self.classes.select("name", "tokens"), "name"), threshold))
+
+    def compare(self, nodes: DataFrame) -> None:
+        """Add the links of the classes that meet in the nodes ``(path, name)``."""
+        found = durable(candidates(nodes, self.classes))
+        if self.known is None:
+            clusters = found.withColumn("component", F.col("name"))
+        else:
+            clusters = with_components(found, self.known)
+            mixed = clusters.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(F.col("low") != F.col("high")).select("cluster")
+            clusters = durable(clusters.join(mixed, "cluster"))
+            if clusters.isEmpty():
+                return
+        wanted = clusters.select("name").distinct()
+        if self.sets is not None:
+            wanted = durable(wanted.join(self.sets.select("name"), "name", "left_anti"))
+        if self.sets is None or not wanted.isEmpty():
+            fresh = durable(full_sets(self.docs, wanted.join(self.classes.select("name", "key"), "name"), *self.source))
+            self.sets = fresh if self.sets is None else self.sets.unionByName(fresh)
+        new = durable(confirmed(clusters, self.sets, self.percent))
+        if self.known is None or not new.isEmpty():
+            self.links = new if self.links is None else self.links.unionByName(new)
+            self.known = components(self.links)
+
+
 def near_components(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -360,28 +440,14 @@ def near_components(
     ``component_id`` is the smallest key that links lead to.
     """
     with scratch() as tables:
-        threshold = percent / 100
         rows = tables.keep(durable(sketches(docs, key, text, size).repartition(parts_of(docs))))
         classes = durable(
             rows.filter(F.col("name").isNotNull()).groupBy("name").agg(F.min("key").alias("key"), F.first("tokens").alias("tokens"))
         )
-        links = None
-        known = None
-        sets = None
+        search = Search(docs, classes, key, text, size, percent)
         for trees in (range(FIRST_TREES), range(FIRST_TREES, TREES)):
-            found = durable(candidates(leaves(classes, trees, threshold), classes))
-            if known is None:
-                clusters = found.withColumn("component", F.col("name"))
-            else:
-                clusters = found.join(known.withColumnRenamed("node", "name"), "name", "left").withColumn("component", F.coalesce("root", "name")).drop("root")
-                mixed = clusters.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(F.col("low") != F.col("high")).select("cluster")
-                clusters = durable(clusters.join(mixed, "cluster"))
-            wanted = clusters.select("name").distinct().join(classes.select("name", "key"), "name")
-            sets = durable(full_sets(docs, wanted, key, text, size))
-            new = durable(confirmed(clusters, sets, percent))
-            links = new if links is None else links.unionByName(new)
-            if known is None or not new.isEmpty():
-                known = components(links)
+            search.trees(trees)
+        known = search.known
         labelled = classes.select("name", "key").join(known.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
         least = labelled.groupBy("root").agg(F.min("key").alias("component_id"))
         named = tables.keep(durable(labelled.join(least, "root").select("name", "component_id")))
