@@ -58,3 +58,11 @@ def test_few_and_none(spark):
     assert nearest_neighbours(spark.createDataFrame([], fields)).count() == 0
     assert nearest_neighbours(spark.createDataFrame([(0, [1.0])], fields)).count() == 0
     assert collected(nearest_neighbours(spark.createDataFrame([(0, [1.0]), (1, [2.0])], fields))) == {0: [(1, 1.0)]}
+
+
+def test_scaled_copies_of_a_vector_tie_by_id(spark):
+    rows = [(k, [x * 2.0 ** ((k * 37) % 101 - 50) for x in (0.3, -0.7, 0.2, 0.5)]) for k in range(101)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest_neighbours(docs, k=5, every=25, share=1.0).collect()
+    got = {q: [r.vec_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 25, 50, 75, 100)}
+    assert got == {q: [k for k in range(6) if k != q][:5] for q in got}

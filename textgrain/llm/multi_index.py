@@ -44,6 +44,8 @@ SHARE = 0.5
 LEAST = 1000
 ENTRY_BLOCK = 4096
 QUERY_BLOCK = 2048
+# Cosines by matrix product differ from the measure by less than this.
+ROUNDING = 1e-9
 
 
 def usable_vectors(rows: DataFrame, key: str, vector: str) -> DataFrame:
@@ -226,14 +228,15 @@ class MultiIndex:
             open_cells = np.stack([np.unpackbits(np.frombuffer(m, np.uint8), count=width) for m in queries["cells"]]).astype(bool)
             rough = unit(asked) @ unit(held).T
             rough[~open_cells[:, entries["j"].to_numpy()]] = -np.inf
-            # A few more than asked for by matrix product; the measure itself decides among them.
-            keep = min(k + 9, len(held))
-            best = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
+            # By matrix product, all that can be as near as the last one asked for, the query's
+            # own entry besides; the measure itself decides among them.
+            place = len(held) - min(k + 1, len(held))
+            least = np.partition(rough, place, axis=1)[:, place] - ROUNDING
             norms = np.sqrt((held * held).sum(1))
             ids = entries["ids"].to_numpy()
             rows = []
             for line, name in enumerate(queries["query_id"].to_numpy()):
-                chosen = best[line][np.isfinite(rough[line, best[line]])]
+                chosen = np.flatnonzero(np.isfinite(rough[line]) & (rough[line] >= least[line]))
                 dots = (held[chosen] * asked[line]).sum(1)
                 scores = dots / (np.sqrt((asked[line] * asked[line]).sum()) * norms[chosen])
                 pairs = [(-s, int(v)) for s, c in zip(scores.tolist(), chosen) for v in ids[c] if v != name]
