@@ -113,3 +113,14 @@ def test_a_large_node_equals_brute_force(spark, monkeypatch, limit):
     expected = brute(rows, 2)
     assert len({component for _, _, component in expected}) > 100
     assert got == expected
+
+
+def test_pairs_at_a_lower_threshold(spark):
+    """Pairs of similarity 48 / 78 = 0.615 are candidates at 60 percent."""
+    rows = []
+    for k in range(60):
+        words = [f"w{k}x{j}" for j in range(63)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words[:48], *(f"v{k}x{j}" for j in range(15))]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_components(docs, size=1, percent=60).collect()}
+    assert sum(got[2 * k + 1] == 2 * k for k in range(60)) >= 55

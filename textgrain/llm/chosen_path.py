@@ -47,8 +47,8 @@ FIRST_LEVELS, MORE_LEVELS = 2, 4
 NODE_LIMIT = 512
 # A node with at most this many pairs across its components is compared whole.
 PAIR_LIMIT = 1 << 25
-# Sketches that agree in this part of their tokens are candidates: four deviations below 0.8.
-SKETCH_SHARE = 0.58
+# Sketches are candidates down to so many binomial deviations below the threshold: 0.58 for 0.8.
+SKETCH_DEVIATIONS = 4.4
 # Groups of up to this many members are compared many groups at a time.
 SMALL_GROUP = 16
 SET_BYTES = 6
@@ -57,6 +57,12 @@ MULTIPLIERS = mix(np.arange(COORDINATES, dtype=np.uint64), 11) | np.uint64(1)
 ADDENDS = mix(np.arange(COORDINATES, dtype=np.uint64), 12)
 
 
+def sketch_share(percent: int) -> float:
+    """The part of their tokens in which the sketches of candidates agree at least."""
+    threshold = percent / 100
+    return threshold - SKETCH_DEVIATIONS * (threshold * (1 - threshold) / COORDINATES) ** 0.5
+
+
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of every text, sorted within the text, and where each text starts."""
     starts, ends, first = word_spans(raw, offsets)
@@ -240,14 +246,14 @@ def cluster_name(names: np.ndarray, member: np.ndarray) -> np.ndarray:
     return mix(np.bitwise_xor.reduce(parts, axis=-1) + member.sum(-1).astype(np.uint64)).view(np.int64)
 
 
-def small_clusters(names: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def small_clusters(names: np.ndarray, tokens: np.ndarray, share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Clusters of many groups of one size: ``names`` (groups, size), ``tokens`` (groups, size, coordinates)."""
     size = names.shape[1]
     near = np.zeros((len(names), size, size), np.float32)
     for i in range(size):
         near[:, i, i] = 1
         for j in range(i):
-            near[:, i, j] = near[:, j, i] = (tokens[:, i] == tokens[:, j]).mean(1) >= SKETCH_SHARE
+            near[:, i, j] = near[:, j, i] = (tokens[:, i] == tokens[:, j]).mean(1) >= share
     for _ in range(int(np.ceil(np.log2(size)))):
         near = (near @ near > 0).astype(np.float32)
     first = near.argmax(2)
@@ -260,12 +266,12 @@ def small_clusters(names: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[np.n
             yield label[at], names[lines][at, place]
 
 
-def large_clusters(names: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def large_clusters(names: np.ndarray, tokens: np.ndarray, share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     left = np.arange(len(names))
     while len(left):
         queue, left, group = [left[0]], left[1:], [left[0]]
         while queue and len(left):
-            near = (tokens[left] == tokens[queue.pop()]).mean(1) >= SKETCH_SHARE
+            near = (tokens[left] == tokens[queue.pop()]).mean(1) >= share
             queue += left[near].tolist()
             group += left[near].tolist()
             left = left[~near]
@@ -274,7 +280,7 @@ def large_clusters(names: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[np.n
             yield np.repeat(cluster_name(own[None], np.ones((1, len(own)), bool)), len(own)), own
 
 
-def candidates(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+def candidates(nodes: DataFrame, classes: DataFrame, share: float) -> DataFrame:
     """``(cluster, name)``: classes of a node that are connected by similar sketches.
 
     The cluster is named by its members, so what several trees find is there once.
@@ -289,9 +295,9 @@ def candidates(nodes: DataFrame, classes: DataFrame) -> DataFrame:
                 starts = bounds[:-1][sizes == size]
                 if len(starts):
                     at = starts[:, None] + np.arange(size)
-                    found += small_clusters(names[at], tokens[at])
+                    found += small_clusters(names[at], tokens[at], share)
             for k in np.flatnonzero(sizes > SMALL_GROUP):
-                found += large_clusters(names[bounds[k] : bounds[k + 1]], tokens[bounds[k] : bounds[k + 1]])
+                found += large_clusters(names[bounds[k] : bounds[k + 1]], tokens[bounds[k] : bounds[k + 1]], share)
             for labels, members in found:
                 yield pa.RecordBatch.from_arrays([pa.array(labels), pa.array(members)], ["cluster", "name"])
 
@@ -410,7 +416,7 @@ class Search:
 
     def compare(self, nodes: DataFrame) -> None:
         """Add the links of the classes that meet in the nodes ``(path, name)``."""
-        found = durable(candidates(nodes, self.classes))
+        found = durable(candidates(nodes, self.classes, sketch_share(self.percent)))
         if self.known is None:
             clusters = found.withColumn("component", F.col("name"))
         else:
