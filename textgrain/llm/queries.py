@@ -20,6 +20,7 @@ from textgrain.llm.string_tiling import contamination
 from textgrain.llm.suffix_buckets import removal_digests
 from textgrain.llm.token_counts import token_counts
 from textgrain.llm.warc import read_archives, write_archives
+from textgrain.llm.whitening import fit_whitening, whiten
 from textgrain.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +84,11 @@ def op10_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_neighbours(read_table(spark, folder, "embeddings", "vec_id", "embedding"))
 
 
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings", "vec_id", "embedding")
+    return whiten(vectors, fit_whitening(vectors))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_windows": op1_chat_windows,
     "op2_token_counts": op2_token_counts,
@@ -94,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op8_chosen_path": op8_chosen_path,
     "op9_warc": op9_warc,
     "op10_multi_index": op10_multi_index,
+    "op13_whitening": op13_whitening,
 }
 
 # DuckDB SQL for the queries that SQL can express.
