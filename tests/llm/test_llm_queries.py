@@ -6,7 +6,7 @@ import pytest
 from textgrain.llm.queries import ORACLE_SQL, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-ROWS = {"op1": "SELECT count(DISTINCT conv_id) + 1 FROM conversations", "op9": "SELECT count(*) FROM pages", "op10": "SELECT 5 * count(*) FROM embeddings WHERE vec_id % 50 = 0", "op13": "SELECT 8 * count(*) FROM embeddings"}
+ROWS = {"op1": "SELECT count(DISTINCT conv_id) + 1 FROM conversations", "op9": "SELECT count(*) FROM pages", "op10": "SELECT 5 * count(*) FROM embeddings WHERE vec_id % 50 = 0", "op11": "SELECT count(DISTINCT conv_id) FROM conversations", "op13": "SELECT 8 * count(*) FROM embeddings"}
 
 
 @pytest.fixture(scope="module")

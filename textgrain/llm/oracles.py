@@ -71,3 +71,60 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> keeper THEN keeper END AS refers_to
 FROM fives"""
+
+# The cheapest plan row by row: of the plans that lead to a state, the least by cost and edits.
+CONVERSATION_REPAIR = r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+coded AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(key, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS code
+  FROM keyed),
+harmed AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+         CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN code = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM coded WHERE code <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM harmed),
+faulty AS (
+  SELECT conv_id, turn, role, text, i, role[1:1] AS initial,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+         lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM faulty GROUP BY conv_id),
+moves(st, initial, nx) AS (VALUES ('', 's', 's'), ('', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')),
+due(st, nx, role) AS (VALUES ('', 'u', 'user'), ('s', 'u', 'user'), ('u', 'a', 'assistant'), ('a', 'u', 'user')),
+gap(st, nx, more, letters, lines) AS (
+  SELECT st, nx, 5, 'I', [role || ':'] FROM due UNION ALL
+  SELECT a.st, b.nx, 10, 'II', [a.role || ':', b.role || ':'] FROM due a JOIN due b ON a.nx = b.st UNION ALL
+  SELECT st, st, 0, '', []::VARCHAR[] FROM (VALUES (''), ('s'), ('u'), ('a')) s(st)),
+edits AS (
+  SELECT conv_id, i, s.st, s.st AS nx, 2 AS more, 'D' AS letter, []::VARCHAR[] AS lines FROM faulty, (VALUES (''), ('s'), ('u'), ('a')) s(st)
+  UNION ALL SELECT conv_id, i, m.st, m.nx, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, 'K', [role || ':' || text]
+  FROM faulty f JOIN moves m USING (initial) WHERE fault IN ('', 'truncated')
+  UNION ALL SELECT conv_id, i, d.st, d.nx, CASE fault WHEN 'truncated' THEN 6 ELSE 1 END, 'R', [d.role || ':' || text]
+  FROM faulty f, due d WHERE fault IN ('', 'truncated')),
+best AS (
+  SELECT conv_id, 0::BIGINT AS i, g.nx AS st, {'cost': g.more, 'audit': g.letters, 'lines': g.lines} AS plan FROM counts, gap g WHERE g.st = ''
+  UNION ALL
+  SELECT conv_id, i, st, min(plan) AS plan FROM (
+    SELECT b.conv_id, b.i + 1 AS i, g.nx AS st, {'cost': b.plan.cost + e.more + g.more, 'audit': b.plan.audit || e.letter || g.letters,
+           'lines': list_concat(b.plan.lines, e.lines, g.lines)} AS plan
+    FROM best b JOIN edits e ON e.conv_id IS NOT DISTINCT FROM b.conv_id AND e.i = b.i + 1 AND e.st = b.st JOIN gap g ON g.st = e.nx)
+  GROUP BY conv_id, i, st),
+plans AS (
+  SELECT c.conv_id, min(plan) AS plan FROM best b JOIN counts c ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.i = c.n
+  WHERE st IN ('', 'a') GROUP BY c.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(plan.cost, 0)::BIGINT AS cost, coalesce(plan.audit, '') AS audit,
+       sha256(coalesce(array_to_string(plan.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN plans p ON o.conv_id IS NOT DISTINCT FROM p.conv_id"""

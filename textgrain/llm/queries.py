@@ -12,6 +12,7 @@ from textgrain.llm import oracles
 from textgrain.llm.chat_windows import chat_windows, read_windows
 from textgrain.llm.chosen_path import near_components
 from textgrain.llm.common import read_table
+from textgrain.llm.conversation_repair import damaged, repair_digests
 from textgrain.llm.language import fit_languages, identify_languages
 from textgrain.llm.multi_index import nearest_neighbours
 from textgrain.llm.ordinal_quality import KEPT_FROM, fit_quality, grade_documents
@@ -84,6 +85,11 @@ def op10_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_neighbours(read_table(spark, folder, "embeddings", "vec_id", "embedding"))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = read_table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
+    return repair_digests(damaged(turns), turns)
+
+
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read_table(spark, folder, "embeddings", "vec_id", "embedding")
     return whiten(vectors, fit_whitening(vectors))
@@ -100,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op8_chosen_path": op8_chosen_path,
     "op9_warc": op9_warc,
     "op10_multi_index": op10_multi_index,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_whitening": op13_whitening,
 }
 
@@ -108,4 +115,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_chat_windows": oracles.CHAT_WINDOWS,
     "op8_chosen_path": oracles.CHOSEN_PATH,
     "op9_warc": oracles.WARC,
+    "op11_conversation_repair": oracles.CONVERSATION_REPAIR,
 }
