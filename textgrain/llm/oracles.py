@@ -128,3 +128,18 @@ SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
        sha256(coalesce(array_to_string(plan.lines, chr(10)), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN plans p ON o.conv_id IS NOT DISTINCT FROM p.conv_id"""
+
+PHRASE_AUTOMATA = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS MATERIALIZED (
+  SELECT rid, i, md5(array_to_string(w[i:i + 34], ' ')) AS name FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM words)),
+again AS (SELECT name FROM windows GROUP BY name HAVING count(*) > 1),
+gone AS (SELECT DISTINCT rid, i + o AS p FROM (SELECT rid, i FROM windows SEMI JOIN again USING (name)), range(35) r(o)),
+listed AS (SELECT rid, list(p) AS p FROM gone GROUP BY rid),
+kept AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(len(p), 0) AS n_removed,
+         CASE WHEN p IS NULL THEN w ELSE list_transform(list_filter(list_zip(w, list_sort(list_concat(list_transform(p, lambda x: {'at': x, 'gone': true}),
+           list_transform(list_filter(range(1, len(w) + 1), lambda x: NOT list_contains(p, x)), lambda x: {'at': x, 'gone': false})))), lambda z: NOT z[2].gone), lambda z: z[1]) END AS k
+  FROM words LEFT JOIN listed USING (rid))
+SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept"""

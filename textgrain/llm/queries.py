@@ -16,6 +16,7 @@ from textgrain.llm.conversation_repair import damaged, repair_digests
 from textgrain.llm.language import fit_languages, identify_languages
 from textgrain.llm.multi_index import nearest_neighbours
 from textgrain.llm.ordinal_quality import KEPT_FROM, fit_quality, grade_documents
+from textgrain.llm.phrase_automata import phrase_digests
 from textgrain.llm.piece_encoding import decode_ids, encode_texts
 from textgrain.llm.string_tiling import contamination
 from textgrain.llm.suffix_buckets import removal_digests
@@ -90,6 +91,10 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair_digests(damaged(turns), turns)
 
 
+def op12_phrase_automata(spark: SparkSession, folder: str) -> DataFrame:
+    return phrase_digests(read_table(spark, folder, "documents", "doc_id", "text"))
+
+
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read_table(spark, folder, "embeddings", "vec_id", "embedding")
     return whiten(vectors, fit_whitening(vectors))
@@ -107,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op9_warc": op9_warc,
     "op10_multi_index": op10_multi_index,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_phrase_automata": op12_phrase_automata,
     "op13_whitening": op13_whitening,
 }
 
@@ -116,4 +122,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_chosen_path": oracles.CHOSEN_PATH,
     "op9_warc": oracles.WARC,
     "op11_conversation_repair": oracles.CONVERSATION_REPAIR,
+    "op12_phrase_automata": oracles.PHRASE_AUTOMATA,
 }
