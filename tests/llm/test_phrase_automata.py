@@ -52,7 +52,7 @@ def corpus(seed, window):
     return rows
 
 
-@pytest.mark.parametrize("window, gram, block, limit", [(9, 3, 2000, 50), (35, 8, 1 << 23, 40_000), (12, 4, 1 << 23, 1)])
+@pytest.mark.parametrize("window, gram, block, limit", [(9, 3, 2000, 50), (35, 8, 1 << 23, 100_000), (12, 4, 1 << 23, 1)])
 def test_spans_equal_brute_force(spark, window, gram, block, limit):
     rows = corpus(window, window)
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS key", "2 AS id", "3 AS n", "4 AS block").repartition(4)

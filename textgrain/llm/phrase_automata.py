@@ -11,7 +11,7 @@ each other at one anchor are cut out as one passage.  Where else a window stands
 
 **Sharded automata.**  Texts that share their smallest repeated anchor go to the same block,
 of bounded size; a block gets the passages of the anchors that its texts have.  It compiles
-their windows into automata over word numbers, ``AUTOMATON_WINDOWS`` at a time, and streams
+their windows into automata over numbers of words, ``AUTOMATON_WINDOWS`` at a time, and streams
 all its texts through each.  Every place that an automaton reports is a repeated window, equal
 word by word.  What a shared anchor cannot reach has no repeated window and is not streamed.
 
@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +42,7 @@ from textgrain.session import durable, scratch
 
 WINDOW, GRAM = 35, 8
 BLOCK_BYTES = 8 << 20
-AUTOMATON_WINDOWS = 40_000
+AUTOMATON_WINDOWS = 100_000
 OTHER_CODES = mix(np.arange(1, 257, dtype=np.uint64), 91)
 PLACE = np.uint64((1 << 32) - 1)
 NOTHING = hashlib.sha256(b"").hexdigest()
@@ -173,52 +174,137 @@ def with_blocks(singles: DataFrame, block_bytes: int) -> DataFrame:
     return least.join(groups, F.col("least") == F.col("_least")).withColumn("block", F.pmod(F.xxhash64("least", deal), F.lit(blocks))).drop("least", "_least", "deals")
 
 
+class Grams:
+    """Numbers of the word runs of a block's texts, which other texts look up."""
+
+    def __init__(self, step: int):
+        # Lengths by doubling, the last one from two runs that overlap.
+        self.shifts = []
+        length = 1
+        while length < step:
+            shift = min(length, step - length)
+            self.shifts.append(shift)
+            length += shift
+        self.tables: list[pd.Index] = []
+
+    def numbers(self, words: np.ndarray, left: np.ndarray, fit: bool) -> np.ndarray:
+        """Per place the number of the run that starts there; -1 at the end of a text or if unknown.
+
+        ``left`` counts the words of the place's text from there on.
+        """
+        found, length = words, 1
+        for level, shift in enumerate(self.shifts):
+            length += shift
+            after = np.concatenate((found[shift:], np.full(min(shift, len(found)), -1)))
+            fine = np.flatnonzero((left >= length) & (found >= 0) & (after >= 0))
+            pairs = (found[fine] << 32) | after[fine]
+            if fit:
+                numbers, known = pd.factorize(pairs)
+                self.tables.append(pd.Index(known))
+            else:
+                numbers = self.tables[level].get_indexer(pairs)
+            found = np.full(len(words), -1, np.int64)
+            found[fine] = numbers
+        return found
+
+
+def countdown(sizes: np.ndarray) -> np.ndarray:
+    """Words left in each text from each of its places on."""
+    ends = np.cumsum(sizes)
+    return np.repeat(ends, sizes) - np.arange(ends[-1] if len(ends) else 0)
+
+
 class Block:
-    """The texts of a block as word numbers, and the places that its automata report."""
+    """The texts of a block as numbers, and the places that its automata report.
+
+    A window is read as the runs of ``step`` words that it consists of, a text as ``step``
+    interleaved sequences of such runs.  A run is two letters, which keeps the automaton's nodes
+    narrow.  Texts go through an automaton only where they have runs of its windows.
+    """
 
     def __init__(self, window: int, limit: int):
         self.window, self.limit = window, limit
-        self.numbers: dict[bytes, int] = {}
-        self.ids, self.words, self.texts, self.hits = [], [], [], []
-        self.fresh()
-
-    def fresh(self) -> None:
-        self.automaton, self.count = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE), 0
+        self.step = max(d for d in range(1, min(window, 5) + 1) if window % d == 0)
+        self.words: dict[bytes, int] = {}
+        self.ids, self.texts, self.numbers = [], [], []
+        self.passages, self.waiting = [], 0
+        self.runs = None
 
     def add_text(self, key: int, text: bytes) -> None:
-        words = text.split()
         self.ids.append(key)
-        self.words.append(text)
-        self.texts.append(tuple([self.numbers.setdefault(w, len(self.numbers)) for w in words]))
-        self.hits.append(np.zeros(len(words) + 1, bool))
+        self.texts.append(text)
+        words = self.words
+        self.numbers.append(np.array([words.setdefault(w, len(words)) for w in text.split()], np.int64))
 
     def add_passage(self, passage: bytes) -> None:
-        # A window with a word that no text of the block has cannot stand in it.
-        numbers = [self.numbers.get(w, -1) for w in passage.split()]
-        blocked = -1
-        for k, number in enumerate(numbers):
-            if number < 0:
-                blocked = k
-            if k - blocked >= self.window and self.automaton.add_word(tuple(numbers[k - self.window + 1 : k + 1])):
-                self.count += 1
-        if self.count >= self.limit:
+        get = self.words.get
+        self.passages.append(np.array([get(w, -1) for w in passage.split()], np.int64))
+        self.waiting += max(0, len(self.passages[-1]) - self.window + 1)
+        if self.waiting >= self.limit:
             self.stream()
 
+    def read_texts(self) -> None:
+        """Runs of all texts, once; then the order in which the interleaved sequences are read."""
+        sizes = np.array([len(n) for n in self.numbers], np.int64)
+        self.first = np.concatenate(([0], np.cumsum(sizes)))
+        left = countdown(sizes)
+        self.grams = Grams(self.step)
+        flat = np.concatenate(self.numbers) if len(sizes) else np.zeros(0, np.int64)
+        self.runs = self.grams.numbers(flat, left, fit=True)
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        lane = text * self.step + (np.arange(len(flat)) - self.first[text]) % self.step
+        self.order = np.argsort(lane, kind="stable")
+        self.lane = lane[self.order]
+        self.hits = np.zeros(len(flat) + 1, bool)
+
     def stream(self) -> None:
-        """All texts through the automaton, which is dropped."""
-        if self.count:
-            self.automaton.make_automaton()
-            for numbers, hits in zip(self.texts, self.hits):
-                if len(numbers) >= self.window:
-                    ends = [end for end, _ in self.automaton.iter(numbers)]
-                    if ends:
-                        hits[np.array(ends) - self.window + 1] = True
-        self.fresh()
+        """All texts through an automaton of the waiting passages' windows."""
+        if self.runs is None:
+            self.read_texts()
+        letters = self.window // self.step
+        sizes = np.array([len(n) for n in self.passages], np.int64)
+        flat = np.concatenate(self.passages) if len(sizes) else np.zeros(0, np.int64)
+        self.passages, self.waiting = [], 0
+        left = countdown(sizes)
+        runs = self.grams.numbers(flat, left, fit=False)
+        starts = np.flatnonzero(left >= self.window)
+        windows = runs[starts[:, None] + np.arange(0, self.window, self.step)]
+        # A window with a run that no text of the block has cannot stand in it.
+        windows = windows[(windows >= 0).all(1)]
+        if not len(windows):
+            return
+        used = np.unique(windows)
+        base = int(len(used) ** 0.5) + 1
+        renumbered = np.searchsorted(used, windows)
+        spelled = np.stack((renumbered // base, base + renumbered % base), 2).reshape(len(windows), -1)
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
+        for word in spelled.tolist():
+            automaton.add_word(tuple(word))
+        automaton.make_automaton()
+        known = np.full(int(max(self.runs.max(initial=-1), used[-1])) + 2, -1)
+        known[used] = np.arange(len(used))
+        read = known[self.runs[self.order]]  # the last entry serves the number -1
+        here = read >= 0
+        edge = np.flatnonzero(np.concatenate(([True], (here[1:] != here[:-1]) | (self.lane[1:] != self.lane[:-1]))))
+        lengths = np.diff(np.append(edge, len(read)))
+        # A stretch of enough known runs, and one letter of its own after it.
+        take = np.flatnonzero(here[edge] & (lengths >= letters))
+        if not len(take):
+            return
+        sizes = lengths[take] + 1
+        place = np.repeat(edge[take] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
+        stops = np.cumsum(sizes) - 1
+        place[stops] = 0
+        codes = read[place]
+        stream = np.stack((codes // base, base + codes % base), 1)
+        stream[stops] = 2 * base
+        ends = np.fromiter((end for end, _ in automaton.iter(tuple(stream.ravel().tolist()))), np.int64)
+        self.hits[self.order[place[ends // 2 - letters + 1]]] = True
 
     def rows(self) -> Iterator[tuple]:
         self.stream()
-        for key, text, hits in zip(self.ids, self.words, self.hits):
-            starts = np.flatnonzero(hits)
+        for k, (key, text) in enumerate(zip(self.ids, self.texts)):
+            starts = np.flatnonzero(self.hits[self.first[k] : self.first[k + 1]])
             if not len(starts):
                 continue
             edge = np.flatnonzero(np.diff(starts) > self.window)
