@@ -49,22 +49,18 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["normalized_text"](spark, folder).write.format("noop").mode("overwrite").save()
     seconds: dict[str, float] = {}
+
+    def report(**more) -> str:
+        total = {"metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec"}
+        return json.dumps(total | {"queries": seconds, "sf": Path(folder).name.removeprefix("sf")} | more)
+
     for name in sys.argv[1:] or HEADLINES:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
-        print(name, seconds[name], file=sys.stderr, flush=True)
-    print(
-        json.dumps(
-            {
-                "metric": "headline_queries_total",
-                "value": round(sum(seconds.values()), 3),
-                "unit": "sec",
-                "queries": seconds,
-                "sf": Path(folder).name.removeprefix("sf"),
-            }
-        )
-    )
+        # A run that is cut short leaves the times so far behind.
+        print(report(partial=True), file=sys.stderr, flush=True)
+    print(report(), flush=True)
     spark.stop()
 
 

@@ -13,9 +13,10 @@ from textgrain.functions import text as tx
 from textgrain.operators import evaluation as ev
 from textgrain.operators import features as ft
 from textgrain.operators import hooks, models, pooling, subset
-from textgrain.plans.fragments import CORPUS, sequence_ngrams_cte, sql, words_cte
+from textgrain.operators import ngram_tables as nt
+from textgrain.plans.fragments import CORPUS, LANGUAGES, sequence_ngrams_cte, sql, words_cte
 from textgrain.plans.registry import query
-from textgrain.plans.text_queries import _processed
+from textgrain.plans.text_queries import _processed, lexicon
 from textgrain.plans.vector_queries import _DEVIATIONS, _train_word_counts, embeddings
 from textgrain.session import durable
 from textgrain.sources import sinks
@@ -223,6 +224,11 @@ def _labelled(spark, folder) -> DataFrame:
     return _processed(spark, folder, ["label", "split"], labelled=True)
 
 
+def _labelled_tagged(spark, folder) -> DataFrame:
+    """The same with lemmas and parts of speech of the lexicon."""
+    return nt.processed_documents(corpus(spark, folder), tx.stop_words(LANGUAGES), lexicon(spark, folder), ["label", "split"])
+
+
 def _flat_confusion(df: DataFrame) -> DataFrame:
     cell = F.col("confusion_matrix")
     flat = {"tn": cell[0][0], "fp": cell[0][1], "fn": cell[1][0], "tp": cell[1][1]}
@@ -252,7 +258,7 @@ def svm_hashed(spark, folder):
 @query("grid_cv")
 def grid_cv(spark, folder):
     """All representations and C values, five folds on the training split."""
-    train = _labelled(spark, folder).filter(F.col("split") == "train").drop("split")
+    train = _labelled_tagged(spark, folder).filter(F.col("split") == "train").drop("split")
     return models.grid_search(durable(train))
 
 

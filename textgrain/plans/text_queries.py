@@ -11,6 +11,7 @@ from textgrain.functions import ngrams as ng
 from textgrain.functions import text as tx
 from textgrain.operators import ngram_tables as nt
 from textgrain.operators import subset
+from textgrain.operators.ordering import by_document
 from textgrain.plans.fragments import (
     ALPHA_WORDS,
     CORPUS,
@@ -416,7 +417,9 @@ _PROFILE = tuple(ng.representations()["all_ngrams"])
     ),
 )
 def ngram_profile(spark, folder):
-    profile = nt.ngram_profile(durable(_tagged(spark, folder)), _PROFILE)
+    # Placed again by document: what is read back has lost its place, and the n-grams of the
+    # fifteen families would be moved instead of the words.
+    profile = nt.ngram_profile(by_document(durable(_tagged(spark, folder))), _PROFILE)
     named = [
         F.struct(F.lit(ng.family_name(k, n)).alias("family"), F.col(ng.family_name(k, n)).alias("cell"))
         for k, n in _PROFILE

@@ -67,11 +67,15 @@ class Scratch:
 
     def clear(self) -> None:
         for path, spark in self.paths.items():
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            _delete(spark, path)
         self.paths.clear()
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 _open = threading.local()
 
 
@@ -89,6 +93,14 @@ def scratch() -> Iterator[Scratch]:
             blocks[-1].paths.update(done.kept)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table of ``durable`` that nothing reads any more."""
+    path = table._durable_path
+    _delete(table.sparkSession, path)
+    for block in getattr(_open, "blocks", ()):
+        block.paths.pop(path, None)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
