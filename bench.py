@@ -35,10 +35,10 @@ HEADLINES = (
     "linear_score",
     "svm_fit_eval",
     "ngram_profile",
-    "grid_cv",
     "learning_curve",
     "representation_compare",
     "epoch_losses",
+    "grid_cv",
 )
 
 
@@ -54,12 +54,16 @@ def main() -> None:
         total = {"metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec"}
         return json.dumps(total | {"queries": seconds, "sf": Path(folder).name.removeprefix("sf")} | more)
 
-    for name in sys.argv[1:] or HEADLINES:
-        start = time.perf_counter()
-        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
-        # A run that is cut short leaves the times so far behind.
-        print(report(partial=True), file=sys.stderr, flush=True)
+    try:
+        for name in sys.argv[1:] or HEADLINES:
+            start = time.perf_counter()
+            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+            seconds[name] = round(time.perf_counter() - start, 3)
+            print(name, seconds[name], file=sys.stderr, flush=True)
+    except BaseException:
+        # A run that is cut short leaves the times of the finished queries.
+        print(report(unfinished=name), flush=True)
+        raise
     print(report(), flush=True)
     spark.stop()
 
