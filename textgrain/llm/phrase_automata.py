@@ -41,8 +41,8 @@ from textgrain.llm.string_tiling import run_hashes
 from textgrain.session import durable, scratch
 
 WINDOW, GRAM = 35, 8
-BLOCK_BYTES = 8 << 20
-AUTOMATON_WINDOWS = 100_000
+BLOCK_BYTES = 4 << 20
+AUTOMATON_WINDOWS = 50_000
 OTHER_CODES = mix(np.arange(1, 257, dtype=np.uint64), 91)
 PLACE = np.uint64((1 << 32) - 1)
 NOTHING = hashlib.sha256(b"").hexdigest()
