@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from textgrain.functions import vectors as vec
 from textgrain.functions.text import word_runs
-from textgrain.operators import pooling
+from textgrain.operators import directions, pooling
 
 WORDS = {f"w{i}": np.random.default_rng(i).normal(size=70) for i in range(12)}
 TEXTS = {0: "w1 w2 w2 zz", 1: "nothing here", 2: "w3", 3: "w1 w1 w4 w5 w6 W7", 4: ""}
@@ -71,6 +71,33 @@ def test_first_direction_and_its_removal(spark):
     assert max(abs(v @ axis) for v in rest.values()) < 1e-9
 
 
+def test_leading_direction_of_wide_vectors(spark):
+    """4,096 components, several restarts, null and short vectors; no matrix of that width exists."""
+    source = np.random.default_rng(3)
+    x = source.normal(size=(90, 4096)) + 0.3 * source.normal(size=(90, 1)) * source.normal(size=4096)
+    rows = [[float(v) for v in row] for row in x] + [None, [float(v) for v in x[0][:5]], [None] * 4096]
+    df = spark.createDataFrame([(v,) for v in rows], "vec array<double>").repartition(4)
+    axis = directions.leading_direction(df)
+    whole = np.vstack((x, np.pad(x[0][:5], (0, 4091))))
+    leading = np.linalg.svd(whole, full_matrices=False)[2][0]
+    assert abs(abs(axis @ leading) - 1) < 1e-9
+
+
+def test_leading_direction_without_a_clear_winner(spark):
+    for k in range(3):
+        x = np.random.default_rng(k).normal(size=(400, 40))
+        df = spark.createDataFrame([([float(v) for v in row],) for row in x], "vec array<float>")
+        leading = np.linalg.svd(x.astype(np.float32).astype(float), full_matrices=False)[2][0]
+        assert abs(abs(directions.leading_direction(df) @ leading) - 1) < 1e-12
+
+
+def test_leading_direction_of_no_and_of_zero_vectors(spark):
+    empty = spark.createDataFrame([], "vec array<double>")
+    assert directions.leading_direction(empty).tolist() == []
+    zeros = spark.createDataFrame([([0.0, 0.0],), ([0.0, 0.0],)], "vec array<double>")
+    assert directions.leading_direction(zeros).tolist() == [0.0, 0.0]
+
+
 def test_masked_mean_and_unit(spark):
     rows = [(0, 1, [1.0, 2.0]), (0, 0, [9.0, 9.0]), (0, 1, [3.0, 4.0]), (1, 0, [5.0, 5.0])]
     df = spark.createDataFrame(rows, "doc_id long, mask int, vec array<double>")
