@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from textgrain.functions import ngrams as ng
 from textgrain.functions import text as tx
 from textgrain.operators import ngram_tables as nt
-from textgrain.operators import subset
+from textgrain.operators import subset, suffixes
 from textgrain.operators.ordering import by_document
 from textgrain.plans.fragments import (
     ALPHA_WORDS,
@@ -401,6 +401,62 @@ def lemma_pos_ngrams(spark, folder):
     return nt.corpus_totals(nt.ngram_counts(_tagged(spark, folder), families))
 
 
+_SUFFIXES = f"""
+lexicon AS (
+  SELECT DISTINCT form, left(form, 5) AS lemma,
+         CASE WHEN lower(right(form, 1)) IN ('a','e','i','o','u') THEN 'NOUN'
+              WHEN lower(right(form, 1)) IN ('n','r','s','t') THEN 'VERB' ELSE 'ADJ' END AS pos
+  FROM kept WHERE length(form) % 10 <> 0),
+ruled AS (
+  SELECT form, pos, length(form) - same AS cut, substring(lemma, same + 1) AS added FROM (
+    SELECT *, len(list_filter(range(1, least(length(form), length(lemma)) + 1), lambda i: left(form, i) = left(lemma, i))) AS same FROM lexicon)),
+rules AS (
+  SELECT ending, pos, cut, added, count(*) AS n FROM (
+    SELECT unnest(list_transform(range(0, least({suffixes.LONGEST}, length(form)) + 1), lambda k: right(lower(form), k))) AS ending, pos, cut, added FROM ruled)
+  GROUP BY ending, pos, cut, added),
+parts AS (SELECT ending, pos, sum(n) AS n FROM rules GROUP BY ending, pos),
+winners AS (SELECT ending, pos FROM parts QUALIFY row_number() OVER (PARTITION BY ending ORDER BY n DESC, pos) = 1),
+support AS (SELECT ending, sum(n) AS forms FROM parts GROUP BY ending),
+endings AS (
+  SELECT ending, pos, cut, added FROM rules JOIN winners USING (ending, pos) JOIN support USING (ending)
+  WHERE forms >= {suffixes.LEAST} OR ending = ''
+  QUALIFY row_number() OVER (PARTITION BY ending ORDER BY n DESC, cut, added) = 1),
+lacking AS (SELECT DISTINCT form FROM kept WHERE length(form) % 10 = 0),
+guessed AS (
+  SELECT form, CASE WHEN cut < length(form) THEN left(form, length(form) - cut) || added ELSE form END AS lemma, pos FROM (
+    SELECT form, unnest(range(0, least({suffixes.LONGEST}, length(form)) + 1)) AS k FROM lacking)
+  JOIN endings ON ending = right(lower(form), k)
+  QUALIFY row_number() OVER (PARTITION BY form ORDER BY k DESC) = 1)"""
+
+
+@query("suffix_lexicon", lambda: sql(words_cte(), _SUFFIXES, final="SELECT form, lemma, pos FROM guessed"))
+def suffix_lexicon(spark, folder):
+    """Forms that the lexicon lacks, with what their endings say."""
+    forms = _processed(spark, folder).select(F.explode("word").alias("form"))
+    known = lexicon(spark, folder)
+    lacking = forms.distinct().join(known, "form", "left_anti")
+    return suffixes.guessed_forms(lacking, suffixes.suffix_table(known))
+
+
+@query(
+    "suffix_tags",
+    lambda: sql(
+        words_cte(),
+        _SUFFIXES,
+        "every AS (SELECT form, lemma, pos FROM lexicon UNION ALL SELECT form, lemma, pos FROM guessed)",
+        final="SELECT doc_id, pos, count(*) AS cnt, count(DISTINCT lemma) AS lemmas FROM kept JOIN every USING (form) GROUP BY doc_id, pos",
+    ),
+)
+def suffix_tags(spark, folder):
+    """Words and lemmas of every part of speech in a document, unknown forms included."""
+    words = durable(_processed(spark, folder).select("doc_id", "word"))
+    forms = words.select(F.explode("word").alias("form"))
+    whole = durable(suffixes.extended_lexicon(forms, lexicon(spark, folder)))
+    tagged = nt.tag_words(by_document(words), whole)
+    entries = tagged.select("doc_id", F.inline(F.arrays_zip("pos", "lemma")))
+    return entries.groupBy("doc_id", "pos").agg(F.count(F.lit(1)).alias("cnt"), F.countDistinct("lemma").alias("lemmas"))
+
+
 # The fifteen families of a profile.
 _PROFILE = tuple(ng.representations()["all_ngrams"])
 

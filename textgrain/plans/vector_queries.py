@@ -10,7 +10,7 @@ from textgrain.functions import text as tx
 from textgrain.functions import vectors as vec
 from textgrain.operators import features as ft
 from textgrain.operators import ngram_tables as nt
-from textgrain.operators import pooling
+from textgrain.operators import pooling, subwords
 from textgrain.plans.fragments import (
     ALPHA_WORDS,
     CORPUS,
@@ -22,6 +22,7 @@ from textgrain.plans.fragments import (
 )
 from textgrain.plans.registry import query
 from textgrain.plans.text_queries import _TAGGED, _processed, _tagged
+from textgrain.session import durable
 from textgrain.sources import labelled, sinks
 from textgrain.sources.tables import (
     EMBEDDING_WIDTH,
@@ -161,6 +162,78 @@ def sentence_vectors(spark, folder):
     return components(pooling.sentence_vectors(docs, vectors, EMBEDDING_WIDTH, tokens), "doc_id")
 
 
+# Buckets of the registered queries: few enough that several n-grams share one.
+BUCKETS = 5_000
+
+
+def _buckets(name: str, source: str) -> str:
+    """``name(token, bucket, cnt)`` of the distinct tokens of ``source``."""
+    grams = ", ".join(
+        f"list_transform(range(1, length(m) - {n} + 2), lambda i: substring(m, i, {n}))"
+        for n in range(subwords.SHORTEST, subwords.LONGEST + 1)
+    )
+    code = "('0x' || substring(h, 2 * i - 1, 2))::BIGINT"
+    codes = f"list_transform(range(1, length(h) // 2 + 1), lambda i: CASE WHEN {code} < 128 THEN {code} ELSE {code} + 4294967040 END)"
+    return f"""
+{name}_grams AS (
+  SELECT token, unnest(flatten([{grams}])) AS gram FROM (SELECT DISTINCT token, '<' || token || '>' AS m FROM {source})),
+{name}_hashed AS (
+  SELECT gram, list_reduce(list_prepend({subwords.FNV_OFFSET}::BIGINT, {codes}),
+                           lambda s, b: (xor(s, b) * {subwords.FNV_PRIME}) % 4294967296) % {BUCKETS} AS bucket
+  FROM (SELECT DISTINCT gram, hex(encode(gram)) AS h FROM {name}_grams)),
+{name} AS (SELECT token, bucket, count(*) AS cnt FROM {name}_grams JOIN {name}_hashed USING (gram) GROUP BY token, bucket)"""
+
+
+_SUBWORDS = (
+    _RANKED,
+    _buckets("known_buckets", "wv"),
+    """
+bucket_means AS (
+  SELECT bucket, dim, sum(cnt * x) / sum(cnt) AS m FROM (
+    SELECT bucket, cnt, unnest(range(0, 64)) AS dim, unnest(vec)::DOUBLE AS x FROM known_buckets JOIN wv USING (token))
+  GROUP BY bucket, dim),
+lacking AS (SELECT token FROM ranked WHERE token NOT IN (SELECT token FROM wv))""",
+    _buckets("new_buckets", "lacking"),
+    """
+guessed AS (SELECT token, dim, sum(cnt * m) / sum(cnt) AS x FROM new_buckets JOIN bucket_means USING (bucket) GROUP BY token, dim)""",
+)
+
+
+def _every_word(spark, folder) -> DataFrame:
+    """Vectors of all words of the documents, those without an own one from their n-grams."""
+    vectors = ranked_word_vectors(spark, folder)
+    words = documents(spark, folder).select(F.explode(tx.word_runs("text")).alias("token"))
+    means = durable(subwords.bucket_vectors(vectors, EMBEDDING_WIDTH, BUCKETS))
+    return subwords.with_subwords(words, vectors, means, EMBEDDING_WIDTH, BUCKETS)
+
+
+@query("subword_vectors", lambda: sql(
+    *_SUBWORDS,
+    final=f"SELECT token, round(sum(x), {DIGITS}) + 0.0 AS total, round(sum(x * (dim + 1)), {DIGITS}) + 0.0 AS moment FROM guessed GROUP BY token",
+))
+def subword_vectors(spark, folder):
+    """The words without an own vector, with two sums over the components of the one they get."""
+    found = _every_word(spark, folder).filter(~F.col("known"))
+    places = F.array(*[F.lit(float(i + 1)) for i in range(EMBEDDING_WIDTH)])
+    ones = F.array_repeat(F.lit(1.0), EMBEDDING_WIDTH)
+    sums = {"total": vec.dot("vec", ones), "moment": vec.dot("vec", places)}
+    return found.select("token", *[(F.round(x, DIGITS) + F.lit(0.0)).alias(name) for name, x in sums.items()])
+
+
+@query("subword_mean_pool", lambda: sql(
+    *_SUBWORDS,
+    """
+every AS (
+  SELECT token, dim, x FROM guessed
+  UNION ALL SELECT token, unnest(range(0, 64)), unnest(vec)::DOUBLE FROM wv),
+counts AS (SELECT doc_id, token, count(*) AS cnt FROM (SELECT doc_id, unnest({runs}) AS token FROM documents) GROUP BY doc_id, token)""".format(runs=WORD_RUNS),
+    final=_pooled("SELECT doc_id, dim, sum(cnt * x) / sum(cnt) AS value FROM counts JOIN every USING (token) GROUP BY doc_id, dim"),
+))
+def subword_mean_pool(spark, folder):
+    every = durable(_every_word(spark, folder).select("token", "vec"))
+    return components(pooling.mean_pool(documents(spark, folder), every, EMBEDDING_WIDTH, tx.word_runs("text")), "doc_id")
+
+
 @query("masked_mean_pool", """
 SELECT doc_id, dim::INT AS dim, round(sum(mask * x) / greatest(sum(mask), 1e-9), 6) + 0.0 AS value FROM (
   SELECT vec_id // 10 AS doc_id, CASE WHEN label < 8 THEN 1 ELSE 0 END AS mask,
