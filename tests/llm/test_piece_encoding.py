@@ -51,6 +51,30 @@ def test_pair_rule_equals_merging():
         assert pieces.may_follow(left, right) == (pieces.merged(left + right) == [left, right])
 
 
+def test_runs_of_blanks_before_words():
+    pieces, source = Pieces(PATH), random.Random(6)
+    assert pieces.blank_run == 16
+    encoder = Encoder(pieces)
+    ends = ["", "the", "中", "😀x", "\x00", "of" * 40, "zq" * 30]
+    rows = [" " * n + end for n in range(0, 120) for end in ends]
+    rows += ["a" + " " * source.randint(30, 90) + source.choice(ends) + " " * source.randint(0, 60) for _ in range(300)]
+    assert encoder.encode(rows) == [LIBRARY.encode(t) for t in rows]
+
+
+def test_a_million_blanks_and_letters():
+    """Quadratic steps would take hours."""
+    encoder = Encoder(Pieces(PATH))
+    for text in (" " * 1_000_000, "x" + " " * 1_000_000 + "y", "  " + "ab" * 500_000, "\n" + " " * 999_999 + "中"):
+        assert encoder.encode([text])[0] == LIBRARY.encode(text)
+
+
+def test_merging_by_heap_equals_merging():
+    pieces, source = Pieces(PATH), random.Random(7)
+    for text in texts(400, 300, 8) + ["▁" * n for n in range(41, 130)]:
+        parts, steps = pieces.merged_by_heap(text), []
+        assert parts == pieces.merged(text, steps) and "".join(parts) == text
+
+
 def test_remembered_words_change_nothing():
     encoder = Encoder(Pieces(PATH))
     rows = texts(200, 50, 4)

@@ -9,8 +9,12 @@ its back pointers are dropped.
 The vocabulary at hand is a byte-pair model, whose library ids are in general not the path
 with the largest sum of scores.  So paths compete by the merge order instead: a piece may
 follow another exactly if the merges of the two joined strings give these two pieces.  With
-strict priorities that leaves one path per position, the library's own.  Runs of equal
-priority (blanks) are merged directly, leftmost first.
+strict priorities that leaves one path per position, the library's own.
+
+Pieces of blanks share one priority, below all others.  So the word behind a run of blanks is
+settled first, by the lattice and with the last blank, and what is left of the run gives as many
+longest pieces as fit, at once; only the rest is merged, leftmost first.  Short chunks of that
+kind, and all of them where a model is not like that, are merged directly.
 
 A boundary between a non-blank and a blank that no piece spans is common to all paths at
 once; words between such boundaries are remembered.
@@ -23,6 +27,7 @@ encoded whole.  Empty tables give empty results.  Other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -40,6 +45,8 @@ BLANK_MARK = "▁"
 REMEMBERED = 200_000
 REMEMBERED_PAIRS = 100_000
 REMEMBERED_LENGTH = 40
+# Chunks of up to this many characters are merged directly where they are merged at all.
+DIRECT_LENGTH = 40
 # Ids that are turned into bytes at a time.
 GATHERED = 500_000
 CHUNKS = re.compile(f"{BLANK_MARK}*[^{BLANK_MARK}]+|{BLANK_MARK}+")
@@ -70,14 +77,35 @@ class Pieces:
             self.raw.append(raw)
         self.longest = max(map(len, self.ids), default=1)
         self.spans_blank = any(BLANK_MARK in piece.lstrip(BLANK_MARK) for piece in self.ids)
+        self.blank_run = self.longest_blank_run()
         self.follows: dict[tuple[str, str], bool] = {}
         self.histories: dict[str, list[tuple[float, str, str]] | None] = {}
 
+    def longest_blank_run(self) -> int:
+        """Length of the longest piece of blanks if runs of blanks can be settled by it, else 0.
+
+        They can if pieces of several blanks share one priority, below that of all other
+        pieces, and hold nothing else.  The leftmost merge then never looks past the longest
+        piece before that is built, and nothing can be merged to it afterwards.
+        """
+        blanks = [p for p in self.ids if len(p) > 1 and not p.strip(BLANK_MARK)]
+        if not blanks or self.spans_blank:
+            return 0
+        others = [p for p in self.ids if len(p) > 1 and p.strip(BLANK_MARK)]
+        levels = {self.priority[p] for p in blanks}
+        mixed = any(p.startswith(2 * BLANK_MARK) for p in others)
+        if len(levels) > 1 or mixed or min((self.priority[p] for p in others), default=np.inf) <= levels.pop():
+            return 0
+        longest = max(blanks, key=len)
+        return len(longest) if self.merged(longest) == [longest] else 0
+
     def merged(self, text: str, history: list[tuple[float, str, str]] | None = None) -> list[str]:
         """Merge adjacent pieces by priority, leftmost first.
 
         ``history`` gets the priority of every merge with the first and last part after it.
         """
+        if history is None and len(text) > DIRECT_LENGTH:
+            return self.merged_by_heap(text)
         parts = list(text)
         get = self.priority.get
         worst = -np.inf
@@ -94,6 +122,29 @@ class Pieces:
                 history.append((top, parts[0], parts[-1]))
         return parts
 
+    def merged_by_heap(self, text: str) -> list[str]:
+        """The same for long texts: a heap over a linked list, n log n steps."""
+        parts: list[str | None] = list(text)
+        after, ahead = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
+        get, size = self.priority.get, len(parts)
+        heap = [(-p, i) for i in range(size - 1) if (p := get(parts[i] + parts[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            level, i = heapq.heappop(heap)
+            j = after[i]
+            if parts[i] is None or j == size or get(parts[i] + parts[j]) != -level:
+                continue
+            parts[i], parts[j] = parts[i] + parts[j], None
+            after[i] = after[j]
+            if after[i] < size:
+                ahead[after[i]] = i
+            for left in (ahead[i], i):
+                if left >= 0 and after[left] < size:
+                    found = get(parts[left] + parts[after[left]])
+                    if found is not None:
+                        heapq.heappush(heap, (-found, left))
+        return [part for part in parts if part is not None]
+
     def history(self, piece: str) -> list[tuple[float, str, str]] | None:
         """How the merges build the piece; None if they build something else."""
         found = self.histories.get(piece, False)
@@ -308,13 +359,31 @@ class Lattice:
 
 def encode_chunk(pieces: Pieces, chunk: str) -> list[int]:
     """Ids of a chunk that no piece crosses the ends of."""
-    if chunk.strip(BLANK_MARK) == "" or chunk.startswith(2 * BLANK_MARK):
-        # Pieces of blanks only share one priority: they are merged leftmost first.
-        return [number for piece in pieces.merged(chunk) for number in pieces.ids_of(piece)]
+    word = chunk.lstrip(BLANK_MARK)
+    blanks = len(chunk) - len(word)
+    if not word or blanks > 1:
+        if len(chunk) <= DIRECT_LENGTH or not pieces.blank_run:
+            return [number for piece in pieces.merged(chunk) for number in pieces.ids_of(piece)]
+        return behind_blanks(pieces, blanks, word)
     lattice = Lattice(pieces)
     return lattice.feed(chunk) + lattice.close()
 
 
+def behind_blanks(pieces: Pieces, blanks: int, word: str) -> list[int]:
+    """Ids of a run of blanks and the word behind it, if any."""
+    found: list[int] = []
+    if word:
+        lattice = Lattice(pieces)
+        found = lattice.feed(BLANK_MARK + word) + lattice.close()
+        if found[0] == pieces.ids[BLANK_MARK]:
+            found = found[1:]
+        else:
+            blanks -= 1
+    whole, rest = divmod(blanks, pieces.blank_run)
+    left = [number for piece in pieces.merged(BLANK_MARK * rest) for number in pieces.ids_of(piece)]
+    return [pieces.ids[BLANK_MARK * pieces.blank_run]] * whole + left + found
+
+
 def packed(ids: list[int]) -> bytes:
     return np.array(ids, np.int32).tobytes()
 
