@@ -45,6 +45,43 @@ def test_word_vectors_order_dimensions_by_number(spark, tmp_path):
         word_vectors.word_vectors(spark.range(1))
 
 
+def test_conversion_notices_changed_files(spark, tmp_path):
+    files, path = tmp_path / "source", str(tmp_path / "kept")
+    files.mkdir()
+
+    def write(name, *rows):
+        (files / name).write_text("word,dim0,dim1\n" + "".join(f"{w},{a},{b}\n" for w, a, b in rows))
+
+    def converted():
+        source = spark.read.option("header", True).csv(str(files))
+        table = word_vectors.converted_word_vectors(spark, source, path)
+        return {r["token"]: list(r["vec"]) for r in table.collect()}, len(list((tmp_path / "kept" / "tables").iterdir()))
+
+    write("a.csv", ("mare", 1, 2))
+    assert converted() == ({"mare": [1, 2]}, 1)
+    assert converted() == ({"mare": [1, 2]}, 1)
+    write("b.csv", ("sole", 3, 4))
+    assert converted() == ({"mare": [1, 2], "sole": [3, 4]}, 2)
+    write("a.csv", ("mare", 1, 25))
+    assert converted() == ({"mare": [1, 25], "sole": [3, 4]}, 3)
+    (files / "b.csv").unlink()
+    assert converted() == ({"mare": [1, 25]}, 4)
+    assert converted() == ({"mare": [1, 25]}, 4)
+
+
+def test_interrupted_conversion_is_never_read(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("word,dim0\nmare,1\n")
+    source, path = spark.read.option("header", True).csv(str(tmp_path / "a.csv")), str(tmp_path / "kept")
+    whole = word_vectors.word_vectors
+    # The rows are written, but the process ends before the manifest is: nothing names the folder.
+    monkeypatch.setattr(word_vectors, "word_vectors", lambda table: whole(table).filter("false"))
+    monkeypatch.setattr(word_vectors, "MANIFEST", "fingerprint int, folder string")
+    with pytest.raises(Exception):
+        word_vectors.converted_word_vectors(spark, source, path)
+    monkeypatch.undo()
+    assert [r["token"] for r in word_vectors.converted_word_vectors(spark, source, path).collect()] == ["mare"]
+
+
 def test_profile_tables(spark):
     a = spark.createDataFrame([("t_1", "1.5", "x")], "ilename string, f1 string, f2 string")
     b = spark.createDataFrame([("t_1", 2.0, 1)], "filename string, f1 double, label int")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ from textgrain.plans.fragments import (
 )
 from textgrain.plans.registry import query
 from textgrain.plans.text_queries import _TAGGED, _processed, _tagged
-from textgrain.session import durable
+from textgrain.session import durable, shared_folder
 from textgrain.sources import labelled, sinks
 from textgrain.sources.tables import (
     EMBEDDING_WIDTH,
@@ -32,7 +34,7 @@ from textgrain.sources.tables import (
     split_of,
     table,
 )
-from textgrain.sources.word_vectors import word_vectors
+from textgrain.sources.word_vectors import converted_word_vectors, word_vectors
 
 DIGITS = 6
 
@@ -102,6 +104,17 @@ def word_vector_table(spark, folder):
     return components(word_vectors(wide), "token")
 
 
+@query("converted_word_vectors", lambda: sql(
+    _RANKED,
+    final=f"SELECT token, (unnest(range(0, 64)))::INT AS dim, round(unnest(vec)::DOUBLE, {DIGITS}) + 0.0 AS value FROM wv",
+))
+def converted_vectors(spark, folder):
+    """The same vectors by way of the kept copy of a wide table in files."""
+    vectors = ranked_word_vectors(spark, folder)
+    wide = durable(vectors.select(F.col("token").alias("word"), *[F.get("vec", i).alias(f"dim{i}") for i in range(EMBEDDING_WIDTH)]))
+    return components(converted_word_vectors(spark, wide, f"{shared_folder(spark)}/{uuid.uuid4().hex}"), "token")
+
+
 @query("unigram_prob", lambda: sql(CORPUS, _PROB, final="SELECT token, cnt, p FROM prob"))
 def unigram_prob(spark, folder):
     train = corpus(spark, folder).filter(F.col("split") == "train")
