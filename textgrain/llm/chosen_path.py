@@ -1,23 +1,27 @@
 """Near-duplicate documents by a chosen-path similarity join.
 
 **Method.**  A document is the set of its word shingles, sketched by ``COORDINATES`` minwise
-tokens.  In each of ``TREES`` independent trees a node picks coordinates at random, on average
+tokens.  In each of several independent trees a node picks coordinates at random, on average
 1 / threshold of them, and hands every document on to the child of its token there: a pair at
 the threshold is expected to meet in one child per level.  A node of at most ``NODE_LIMIT``
-documents is compared exhaustively.  A larger one is dealt into blocks that all hold its
-smallest document, its pivot, and dealt once more if that leaves several components.  Once
-confirmed links connect all of a node it is finished, so a dense group of copies does not
-multiply.  A node that still holds several components is compared by pairs of blocks, so that
-every two documents of different components meet; beyond ``PAIR_LIMIT`` such pairs all of its
-documents branch on instead, near the pivot or not.
+documents is compared exhaustively.  A larger one branches on, with all of its documents, until
+its nodes are small.  ``tree_count`` takes as many trees as the target recall needs.
+
+**Ends of branches.**  Only connectedness is asked for.  A node whose documents are connected
+already is finished.  A dense group would never come apart, so the documents of a large node are
+also compared in blocks of ``NODE_LIMIT`` that all hold the node's smallest document, twice
+with other blocks; that takes time in proportion to the node, and leaves only nodes with
+several components to branch on.  What is still large at the ``last_level`` (it follows from the number of documents) is compared by
+pairs of blocks, so that every two documents of different components meet.
 
 **Confirmation.**  Within a node the sketches pick connected candidates; their full sets are
-then compared exactly.  Only connectedness is asked for, so documents that are already
-connected are not compared again, and a large group costs one comparison per document, not
-one per pair.  The first trees connect most; of the later ones only nodes that hold several
-components are looked at.
+then compared, shingle by shingle, as the first 48 bits of 64-bit shingle hashes.  Documents of
+one component are not compared again, so a large group costs about one comparison per document,
+not one per pair.  The first trees connect most; later ones only look at nodes that hold several
+components.
 
-Equal sets are one class from the start, so exact copies are never compared.
+Equal sets (a 64-bit digest of the set and its size) are one class from the start, so exact
+copies are never compared.
 
 Shingles: A-Z in lower case, words are runs without blanks (space, tab to carriage return);
 with fewer words than the shingle length the whole sequence is one shingle.
@@ -29,6 +33,7 @@ count whole.  An empty table gives an empty result.  Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,19 +44,22 @@ from pyspark.sql import functions as F
 from textgrain.llm.common import LOWER_CODES, mix, parts_of, prefix_hash, span_hash, text_runs, word_spans
 from textgrain.llm.components import components
 from textgrain.llm.string_tiling import run_hashes
-from textgrain.session import durable, scratch
+from textgrain.session import discard, durable, scratch
 
 COORDINATES = 64
-TREES, FIRST_TREES = 12, 3
+# A pair at the threshold meets in one of the trees with this probability, RECALL_LEVEL levels down.
+RECALL, RECALL_LEVEL = 0.995, 10
+FIRST_TREES = 3
 FIRST_LEVELS, MORE_LEVELS = 2, 4
+# Branches end where documents that share this part of their tokens have come apart.
+FAMILY_SHARE = 0.6
 NODE_LIMIT = 512
-# A node with at most this many pairs across its components is compared whole.
-PAIR_LIMIT = 1 << 25
 # Sketches are candidates down to so many binomial deviations below the threshold: 0.58 for 0.8.
 SKETCH_DEVIATIONS = 4.4
 # Groups of up to this many members are compared many groups at a time.
 SMALL_GROUP = 16
 SET_BYTES = 6
+NODES = "path bigint, name bigint, component bigint"
 
 MULTIPLIERS = mix(np.arange(COORDINATES, dtype=np.uint64), 11) | np.uint64(1)
 ADDENDS = mix(np.arange(COORDINATES, dtype=np.uint64), 12)
@@ -63,6 +71,22 @@ def sketch_share(percent: int) -> float:
     return threshold - SKETCH_DEVIATIONS * (threshold * (1 - threshold) / COORDINATES) ** 0.5
 
 
+def tree_count(percent: int) -> int:
+    """Trees after which a pair at the threshold has met with the probability ``RECALL``."""
+    threshold = percent / 100
+    second, apart = min(1 / threshold - 1, 1), 0.0
+    for _ in range(RECALL_LEVEL):
+        # One child, or two; the pair is apart if it misses, or comes apart below, each of them.
+        miss = 1 - threshold + threshold * apart
+        apart = (1 - second) * miss + second * miss**2
+    return max(math.ceil(math.log(1 - RECALL) / math.log(apart)), FIRST_TREES + 1)
+
+
+def last_level(classes: int) -> int:
+    """The level at which large nodes are compared by pairs of blocks."""
+    return max(RECALL_LEVEL, math.ceil(math.log(max(classes, 1) / NODE_LIMIT) / -math.log(FAMILY_SHARE)))
+
+
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of every text, sorted within the text, and where each text starts."""
     starts, ends, first = word_spans(raw, offsets)
@@ -141,78 +165,71 @@ def packed_tokens(column: pa.Array) -> np.ndarray:
 
 
 def roots(classes: DataFrame, trees: range, threshold: float) -> DataFrame:
-    """``(path, name)``: the nodes of every class after the first levels of the trees."""
+    """``(path, name, component)``: every class in the nodes of the trees' first levels."""
     seeds = mix(np.array(list(trees), np.uint64), 33)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tokens = packed_tokens(batch.column(1))
             owner = np.tile(np.arange(batch.num_rows), len(seeds))
-            paths, owner = branched(np.repeat(seeds, batch.num_rows), owner, tokens, FIRST_LEVELS, threshold)
-            yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), batch.column(0).take(pa.array(owner))], ["path", "name"])
+            paths, owner = branched(np.repeat(seeds, batch.num_rows), owner, packed_tokens(batch.column(2)), FIRST_LEVELS, threshold)
+            at = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), batch.column(0).take(at), batch.column(1).take(at)], ["path", "name", "component"])
 
-    return classes.select("name", "tokens").mapInArrow(run, "path bigint, name bigint")
+    return classes.select("name", "component", "tokens").mapInArrow(run, NODES)
 
 
 def children(members: DataFrame, threshold: float) -> DataFrame:
-    """``(path, name)``: nodes further down, of all members ``(path, name, tokens)``."""
+    """``(path, name, component)``: nodes further down, of all members (with their ``tokens``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             paths, owner = np.asarray(batch.column(0)).view(np.uint64), np.arange(batch.num_rows)
-            paths, owner = branched(paths, owner, packed_tokens(batch.column(2)), MORE_LEVELS, threshold)
-            yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), batch.column(1).take(pa.array(owner))], ["path", "name"])
-
-    return members.select("path", "name", "tokens").mapInArrow(run, "path bigint, name bigint")
+            paths, owner = branched(paths, owner, packed_tokens(batch.column(3)), MORE_LEVELS, threshold)
+            at = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), batch.column(1).take(at), batch.column(2).take(at)], ["path", "name", "component"])
 
+    return members.select("path", "name", "component", "tokens").mapInArrow(run, NODES)
 
-def blocks_with_pivot(members: DataFrame, deal: int) -> DataFrame:
-    """``(path, name)``: the members ``(path, name)`` of nodes in blocks that all hold the node's smallest."""
-    nodes = members.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("least"))
-    nodes = nodes.withColumn("blocks", F.ceil(F.col("n") / F.lit(NODE_LIMIT - 1)).cast("long"))
-    block = F.pmod(F.xxhash64("name", "path", F.lit(deal)), F.col("blocks"))
-    dealt = members.select("path", "name").join(nodes, "path").filter(F.col("name") != F.col("least")).select("path", block.alias("block"), "name")
-    held = nodes.select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("least").alias("name"))
-    return dealt.unionByName(held).select(F.xxhash64("path", "block", F.lit(deal)).alias("path"), "name")
-
-
-def with_components(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows with ``name`` and the ``component`` that the links so far put it in."""
-    found = rows.join(known.withColumnRenamed("node", "name"), "name", "left")
-    return found.withColumn("component", F.coalesce("root", "name")).drop("root")
 
+def unfinished(nodes: DataFrame) -> DataFrame:
+    """``(path, name, component, n)`` of the nodes that hold several components; ``n`` members each."""
+    sizes = nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    return nodes.join(sizes.filter(F.col("low") < F.col("high")).select("path", "n"), "path").select("path", "name", "component", "n")
 
-def unfinished(members: DataFrame, known: DataFrame) -> DataFrame:
-    """``(path, name, component, n, minor, major)`` of the nodes that hold several components.
 
-    ``major`` is the node's largest component, ``minor`` counts the members outside it.
-    """
-    placed = with_components(members.select("path", "name"), known)
-    sizes = placed.groupBy("path", "component").agg(F.count(F.lit(1)).alias("held"))
-    nodes = sizes.groupBy("path").agg(F.sum("held").alias("n"), F.max(F.struct("held", "component")).alias("top"))
-    nodes = nodes.select("path", "n", (F.col("n") - F.col("top.held")).alias("minor"), F.col("top.component").alias("major"))
-    return placed.join(nodes.filter(F.col("minor") > 0), "path")
+def blocks_with_pivot(members: DataFrame, deal: int) -> DataFrame:
+    """``(path, name, component)``: the members of nodes in blocks that all hold the node's smallest."""
+    member = F.struct("name", "component")
+    nodes = members.groupBy("path").agg(F.min(member).alias("least"), F.max("n").alias("of"))
+    nodes = nodes.withColumn("blocks", F.ceil(F.col("of") / F.lit(NODE_LIMIT - 1)).cast("long"))
+    block = F.pmod(F.xxhash64("name", "path", F.lit(deal)), F.col("blocks"))
+    dealt = members.join(nodes, "path").filter(F.col("name") != F.col("least.name")).select("path", block.alias("block"), member.alias("member"))
+    held = nodes.select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("least").alias("member"))
+    return dealt.unionByName(held).select(F.xxhash64("path", "block", F.lit(deal)).alias("path"), "member.name", "member.component")
 
 
 def block_pairs(members: DataFrame) -> DataFrame:
-    """``(path, name)``: groups in which each member outside the largest component meets every member."""
-    half = NODE_LIMIT // 2
-    rows = F.ceil(F.col("n") / F.lit(half)).cast("long")
-    columns = F.ceil(F.col("minor") / F.lit(half)).cast("long")
-    at = members.withColumns({
-        "rows": rows, "columns": columns,
-        "row": F.pmod(F.xxhash64("name", F.lit("row")), rows), "column": F.pmod(F.xxhash64("name", F.lit("column")), columns),
+    """``(path, name, component)``: groups in which each member outside the largest component meets every member."""
+    sizes = members.groupBy("path", "component").agg(F.count(F.lit(1)).alias("held"))
+    nodes = sizes.groupBy("path").agg(F.sum("held").alias("all"), F.max(F.struct("held", "component")).alias("top"))
+    half, zero = NODE_LIMIT // 2, F.lit(0).cast("long")
+    nodes = nodes.select(
+        "path", F.col("top.component").alias("major"),
+        F.ceil(F.col("all") / F.lit(half)).cast("long").alias("rows"),
+        F.ceil((F.col("all") - F.col("top.held")) / F.lit(half)).cast("long").alias("columns"),
+    )
+    at = members.join(nodes, "path").withColumns({
+        "row": F.pmod(F.xxhash64("name", F.lit("row")), F.col("rows")), "column": F.pmod(F.xxhash64("name", F.lit("column")), F.col("columns")),
     })
-    zero = F.lit(0).cast("long")
-    one = at.select("path", "name", "row", F.explode(F.sequence(zero, F.col("columns") - 1)).alias("column"))
+    one = at.select("path", "name", "component", "row", F.explode(F.sequence(zero, F.col("columns") - 1)).alias("column"))
     two = at.filter(F.col("component") != F.col("major")).withColumnRenamed("row", "own")
     two = two.withColumn("row", F.explode(F.sequence(zero, F.col("rows") - 1))).filter(F.col("row") != F.col("own"))
-    pairs = one.unionByName(two.select("path", "name", "row", "column"))
-    return pairs.select(F.xxhash64("path", "row", "column", F.lit("pair")).alias("path"), "name")
+    pairs = one.unionByName(two.select("path", "name", "component", "row", "column"))
+    return pairs.select(F.xxhash64("path", "row", "column", F.lit("pair")).alias("path"), "name", "component")
 
 
 def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
@@ -246,8 +263,11 @@ def cluster_name(names: np.ndarray, member: np.ndarray) -> np.ndarray:
     return mix(np.bitwise_xor.reduce(parts, axis=-1) + member.sum(-1).astype(np.uint64)).view(np.int64)
 
 
-def small_clusters(names: np.ndarray, tokens: np.ndarray, share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Clusters of many groups of one size: ``names`` (groups, size), ``tokens`` (groups, size, coordinates)."""
+def small_clusters(names: np.ndarray, tokens: np.ndarray, share: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Clusters of many groups of one size: ``names`` (groups, size), ``tokens`` (groups, size, coordinates).
+
+    Yields the cluster's name, the group and the place in it of every member, clusters in runs.
+    """
     size = names.shape[1]
     near = np.zeros((len(names), size, size), np.float32)
     for i in range(size):
@@ -263,10 +283,11 @@ def small_clusters(names: np.ndarray, tokens: np.ndarray, share: float) -> Itera
         if len(lines):
             label = cluster_name(names[lines], member[lines])
             at, place = np.nonzero(member[lines])
-            yield label[at], names[lines][at, place]
+            yield label[at], lines[at], place
 
 
 def large_clusters(names: np.ndarray, tokens: np.ndarray, share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The cluster's name and the place of every member, a cluster at a time."""
     left = np.arange(len(names))
     while len(left):
         queue, left, group = [left[0]], left[1:], [left[0]]
@@ -277,33 +298,42 @@ def large_clusters(names: np.ndarray, tokens: np.ndarray, share: float) -> Itera
             left = left[~near]
         if len(group) > 1:
             own = names[group]
-            yield np.repeat(cluster_name(own[None], np.ones((1, len(own)), bool)), len(own)), own
+            yield np.repeat(cluster_name(own[None], np.ones((1, len(own)), bool)), len(own)), np.array(group)
+
+
+def several_components(labels: np.ndarray, components: np.ndarray) -> np.ndarray:
+    """Marks the members of the clusters (runs of labels) that hold more than one component."""
+    starts = np.concatenate(([0], np.flatnonzero(labels[1:] != labels[:-1]) + 1))
+    mixed = np.minimum.reduceat(components, starts) != np.maximum.reduceat(components, starts)
+    return np.repeat(mixed, np.diff(np.concatenate((starts, [len(labels)]))))
 
 
 def candidates(nodes: DataFrame, classes: DataFrame, share: float) -> DataFrame:
-    """``(cluster, name)``: classes of a node that are connected by similar sketches.
+    """``(cluster, name, component)``: classes of a node that are connected by similar sketches.
 
-    The cluster is named by its members, so what several trees find is there once.
+    The cluster is named by its members, so what several trees find is there once.  Clusters
+    of one component are left out.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, bounds in grouped(batches):
-            names, tokens = np.asarray(batch.column(1)), packed_tokens(batch.column(2))
+            names, owners, tokens = np.asarray(batch.column(1)), np.asarray(batch.column(2)), packed_tokens(batch.column(3))
             sizes = np.diff(bounds)
             found = []
             for size in range(2, SMALL_GROUP + 1):
                 starts = bounds[:-1][sizes == size]
                 if len(starts):
                     at = starts[:, None] + np.arange(size)
-                    found += small_clusters(names[at], tokens[at], share)
-            for k in np.flatnonzero(sizes > SMALL_GROUP):
-                found += large_clusters(names[bounds[k] : bounds[k + 1]], tokens[bounds[k] : bounds[k + 1]], share)
-            for labels, members in found:
-                yield pa.RecordBatch.from_arrays([pa.array(labels), pa.array(members)], ["cluster", "name"])
+                    found += [(labels, at[line, place]) for labels, line, place in small_clusters(names[at], tokens[at], share)]
+            for low, high in zip(bounds[:-1][sizes > SMALL_GROUP].tolist(), bounds[1:][sizes > SMALL_GROUP].tolist()):
+                found += [(labels, low + place) for labels, place in large_clusters(names[low:high], tokens[low:high], share)]
+            for labels, at in found:
+                kept = several_components(labels, owners[at])
+                yield pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (labels, names[at], owners[at])], ["cluster", "name", "component"])
 
-    full = nodes.join(classes.select("name", "tokens"), "name").select("path", "name", "tokens")
-    placed = full.repartition(parts_of(nodes), "path").sortWithinPartitions("path")
-    return placed.mapInArrow(compare, "cluster bigint, name bigint").distinct()
+    full = nodes.join(classes.select("name", "tokens"), "name").select("path", "name", "component", "tokens")
+    placed = full.repartition("path").sortWithinPartitions("path")
+    return placed.mapInArrow(compare, "cluster bigint, name bigint, component bigint").distinct()
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
@@ -330,7 +360,7 @@ def unpacked(body: bytes) -> np.ndarray:
 
 
 def confirmed(clusters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``(a, b)`` that connect what the exact similarity connects within each cluster.
+    """Links ``(a, b)`` of components that the exact similarity connects within each cluster.
 
     ``clusters`` has ``(cluster, name, component)``: classes of one component are connected
     already and are not compared with each other.
@@ -338,44 +368,55 @@ def confirmed(clusters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, bounds in grouped(batches):
-            names, labels, bodies = np.asarray(batch.column(1)), np.asarray(batch.column(2)), batch.column(3)
+            labels, bodies = np.asarray(batch.column(2)), batch.column(3)
             links = []
             for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 sets = [unpacked(bodies[i].as_py()) for i in range(low, high)]
-                links += linked(names[low:high].tolist(), labels[low:high].copy(), sets, percent)
+                links += linked(labels[low:high].tolist(), labels[low:high].copy(), sets, percent)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     full = clusters.join(sets, "name").select("cluster", "name", "component", "values")
-    placed = full.repartition(parts_of(clusters), "cluster").sortWithinPartitions("cluster", "name")
+    placed = full.repartition("cluster").sortWithinPartitions("cluster", "name")
     return placed.mapInArrow(compare, "a bigint, b bigint")
 
 
-def linked(names: list[int], label: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that join the components ``label`` of a cluster; equal labels are not compared."""
+def linked(owners: list[int], label: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links of the ``owners`` that join the labels of a cluster; equal labels are not compared."""
     sizes = np.array([len(s) for s in sets])
-    flat = bounds = None
+    common = common_counts(sets) if len(sets) > SMALL_GROUP else None
     links = []
-    for k in range(len(names)):
+    for k in range(len(owners)):
         others = np.flatnonzero(label != label[k])
         others = others[100 * np.minimum(sizes[others], sizes[k]) >= percent * np.maximum(sizes[others], sizes[k])]
         if not len(others):
             continue
-        if len(others) <= SMALL_GROUP:
-            common = np.array([in_common(sets[o], sets[k]) for o in others])
-        else:
-            if flat is None:
-                flat, bounds = np.concatenate(sets), np.concatenate(([0], np.cumsum(sizes)))
-            place = np.minimum(np.searchsorted(sets[k], flat), sizes[k] - 1)
-            hits = np.concatenate(([0], np.cumsum(sets[k][place] == flat)))
-            common = (hits[bounds[1:]] - hits[bounds[:-1]])[others]
-        for o in others[100 * common >= percent * (sizes[others] + sizes[k] - common)]:
+        shared = np.array([in_common(sets[o], sets[k]) for o in others]) if common is None else common[k, others]
+        for o in others[100 * shared >= percent * (sizes[others] + sizes[k] - shared)]:
             if label[o] != label[k]:
-                links.append((names[k], names[o]))
+                links.append((owners[k], owners[o]))
                 label[label == label[o]] = label[k]
     return links
 
 
+def common_counts(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Common members of every two sets: products of incidence blocks, ``width`` shared members each."""
+    values, member, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    place = np.cumsum(counts > 1) - 1
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = counts[member] > 1
+    owner, member = owner[shared], place[member[shared]]
+    order = np.argsort(member, kind="stable")
+    owner, member = owner[order], member[order]
+    common = np.zeros((len(sets), len(sets)), np.int64)
+    cuts = np.searchsorted(member, np.arange(0, place[-1] + 1 + width, width))
+    for number, (low, high) in enumerate(zip(cuts[:-1], cuts[1:])):
+        block = np.zeros((len(sets), width), np.float32)
+        block[owner[low:high], member[low:high] - number * width] = 1
+        common += (block @ block.T).astype(np.int64)
+    return common
+
+
 def in_common(one: np.ndarray, two: np.ndarray) -> int:
     """Common members of two sets without repeats."""
     both = np.concatenate((one, two))
@@ -384,57 +425,64 @@ def in_common(one: np.ndarray, two: np.ndarray) -> int:
 
 
 class Search:
-    """The links found so far and the components ``known`` from them."""
+    """The classes and the components, ``placed`` (name, component), that the links so far put them in."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, key: str, text: str, size: int, percent: int):
         self.docs, self.classes, self.source, self.percent = docs, classes, (key, text, size), percent
-        self.links = self.known = self.sets = None
+        self.placed = durable(classes.select("name", F.col("name").alias("component")))
+        self.sets: list[DataFrame] = []
+        self.last_level = last_level(classes.count())
 
     def trees(self, trees: range) -> None:
         """Compare the nodes of the trees, level after level until none is left."""
-        threshold = self.percent / 100
-        nodes = durable(roots(self.classes, trees, threshold))
+        threshold, level = self.percent / 100, FIRST_LEVELS
+        nodes = durable(roots(self.classes.join(self.placed, "name"), trees, threshold))
         while True:
-            sizes = durable(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
-            small = nodes.join(sizes.filter(F.col("n") <= NODE_LIMIT).select("path"), "path")
-            large = sizes.filter(F.col("n") > NODE_LIMIT).select("path")
+            several = durable(unfinished(nodes))
+            discard(nodes)
+            large = several.filter(F.col("n") > NODE_LIMIT)
             if large.isEmpty():
-                return self.compare(small)
-            members = durable(nodes.join(large, "path"))
-            self.compare(small.unionByName(blocks_with_pivot(members, 0)))
-            left = durable(unfinished(members, self.known))
+                return self.compare(several)
+            small = several.filter(F.col("n") <= NODE_LIMIT).drop("n")
+            self.compare(small.unionByName(blocks_with_pivot(large, 0)).unionByName(blocks_with_pivot(large, 1)))
+            left = durable(unfinished(durable(large.select("path", "name").join(self.placed, "name"))))
+            discard(several)
             if left.isEmpty():
                 return None
-            self.compare(blocks_with_pivot(left, 1))
-            left = durable(unfinished(left, self.known))
-            whole = F.col("n") * F.col("minor") <= PAIR_LIMIT
-            self.compare(block_pairs(left.filter(whole)))
-            wide = left.filter(~whole)
-            if wide.isEmpty():
-                return None
-            nodes = durable(children(wide.select("path", "name").join(self.classes.select("name", "tokens"), "name"), threshold))
+            if level >= self.last_level:
+                return self.compare(block_pairs(left))
+            nodes = durable(children(left.join(self.classes.select("name", "tokens"), "name"), threshold))
+            level += MORE_LEVELS
 
     def compare(self, nodes: DataFrame) -> None:
-        """Add the links of the classes that meet in the nodes ``(path, name)``."""
-        found = durable(candidates(nodes, self.classes, sketch_share(self.percent)))
-        if self.known is None:
-            clusters = found.withColumn("component", F.col("name"))
-        else:
-            clusters = with_components(found, self.known)
-            mixed = clusters.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(F.col("low") != F.col("high")).select("cluster")
-            clusters = durable(clusters.join(mixed, "cluster"))
+        """Join the components of classes that meet in the nodes ``(path, name, component)``."""
+        with scratch() as tables:
+            clusters = durable(candidates(nodes, self.classes, sketch_share(self.percent)))
             if clusters.isEmpty():
                 return
+            sets = self.full_sets(clusters)
+            tables.keep(self.sets[-1])
+            links = durable(confirmed(clusters, sets, self.percent))
+            if links.isEmpty():
+                return
+            moved = components(links).select(F.col("node").alias("component"), "root")
+            placed = self.placed.join(moved, "component", "left").select("name", F.coalesce("root", "component").alias("component"))
+            before, self.placed = self.placed, tables.keep(durable(placed))
+            discard(before)
+
+    def full_sets(self, clusters: DataFrame) -> DataFrame:
+        """The sets of the classes in the clusters; those of earlier steps are written already."""
         wanted = clusters.select("name").distinct()
-        if self.sets is not None:
-            wanted = durable(wanted.join(self.sets.select("name"), "name", "left_anti"))
-        if self.sets is None or not wanted.isEmpty():
-            fresh = durable(full_sets(self.docs, wanted.join(self.classes.select("name", "key"), "name"), *self.source))
-            self.sets = fresh if self.sets is None else self.sets.unionByName(fresh)
-        new = durable(confirmed(clusters, self.sets, self.percent))
-        if self.known is None or not new.isEmpty():
-            self.links = new if self.links is None else self.links.unionByName(new)
-            self.known = components(self.links)
+        if self.sets:
+            wanted = wanted.join(self.written_sets().select("name"), "name", "left_anti")
+        fresh = durable(full_sets(self.docs, wanted.join(self.classes.select("name", "key"), "name"), *self.source))
+        self.sets.append(fresh)
+        return self.written_sets()
+
+    def written_sets(self) -> DataFrame:
+        """One scan of all tables of sets, however many steps wrote one."""
+        first = self.sets[0]
+        return first.sparkSession.read.schema(first.schema).parquet(*(table._durable_path for table in self.sets))
 
 
 def near_components(
@@ -451,12 +499,11 @@ def near_components(
             rows.filter(F.col("name").isNotNull()).groupBy("name").agg(F.min("key").alias("key"), F.first("tokens").alias("tokens"))
         )
         search = Search(docs, classes, key, text, size, percent)
-        for trees in (range(FIRST_TREES), range(FIRST_TREES, TREES)):
+        for trees in (range(FIRST_TREES), range(FIRST_TREES, tree_count(percent))):
             search.trees(trees)
-        known = search.known
-        labelled = classes.select("name", "key").join(known.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
-        least = labelled.groupBy("root").agg(F.min("key").alias("component_id"))
-        named = tables.keep(durable(labelled.join(least, "root").select("name", "component_id")))
+        labelled = classes.select("name", "key").join(search.placed, "name")
+        least = labelled.groupBy("component").agg(F.min("key").alias("component_id"))
+        named = tables.keep(durable(labelled.join(least, "component").select("name", "component_id")))
     return rows.select("key", "n", "name").join(named, "name", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "key").alias("component_id"),
