@@ -59,6 +59,13 @@ def test_one_shuffle_from_text_to_profile_cells(spark):
     assert text.count("Exchange ") == 1
 
 
+def test_words_do_not_depend_on_blanks(spark):
+    docs = spark.createDataFrame([(0, "\x1c a\u00a0 l'\x85b\tc'd \u2003 e1_'"), (1, "\n ")], "doc_id long, text string")
+    found = nt.processed_documents(docs, [])
+    assert "regexp_replace" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r["doc_id"]: r["word"] for r in found.collect()} == {0: ["a", "l'", "b", "c'", "d", "e1_"], 1: []}
+
+
 def test_lexicon_tags_keep_word_order(spark):
     docs = spark.createDataFrame([(0, "b a c a"), (1, "")], "doc_id long, text string")
     lexicon = spark.createDataFrame([("a", "A", "N"), ("b", "B", "V")], "form string, lemma string, pos string")

@@ -56,6 +56,15 @@ def test_every_code_point_outside_the_suspect_class_is_composed(spark):
     assert df.filter(~(F.col("text").rlike(tx.OUTSIDE_PLAIN) & F.col("text").rlike(tx.MAYBE_UNCOMPOSED))).count() == 0
 
 
+def test_only_one_plain_range_is_searched_before_composing(spark):
+    """A class of many ranges took 18 of the 30 seconds that the words of 173 MB took."""
+    texts = ["e\u0301", "\u1e69", "s\u0323\u0307", "\u212b", "é ß", "日本", None]
+    df = frame(spark, texts)
+    assert values(df, tx.composed("text")) == [t and unicodedata.normalize("NFC", t) for t in texts]
+    plan = df.select(tx.composed("text"))._jdf.queryExecution().executedPlan().toString()
+    assert "RLIKE" in plan and "x{2010}" not in plan
+
+
 def test_null_policies(spark):
     df = frame(spark, [None])
     assert values(df, tx.null_text("text", "nan")) == ["nan"]
