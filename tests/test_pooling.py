@@ -52,6 +52,39 @@ def test_sif(spark):
     check(pooled(pooling.sif_pool(docs, vectors, 70, word_runs("text"), prob)), expected, 70)
 
 
+def test_blocks_equal_the_sums_by_row(spark, monkeypatch):
+    """Many blocks; null and repeated ids, repeated words in the table, missing components."""
+    monkeypatch.setattr(pooling, "BLOCK_BYTES", 8)
+    monkeypatch.setattr(pooling, "PAIRS", 2)
+    texts = [(0, "a b a zz"), (0, "b c"), (1, "c c d"), (None, "a e"), (None, "b"), (2, None), (3, "zz"), (4, "e"), (5, "a b c d e")]
+    table = [("a", [1.0, 2.0]), ("a", [3.0, 5.0]), ("b", [0.5, None]), ("c", [4.0, 1.0]), ("d", [7.0]), ("e", None), (None, [9.0, 9.0])]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    vectors = spark.createDataFrame(table, "token string, vec array<float>")
+    got = {r.doc_id: r.vec for r in pooling.pooled(
+        docs, F.split("text", " "), F.octet_length("text"), vectors.withColumn("weight", F.lit(1.0)), "token", 2, deviation=True
+    ).collect()}
+    expected = {}
+    for doc in {d for d, _ in texts}:
+        rows = [v for d, t in texts if d == doc for w in (t or "").split() for k, v in table if k == w]
+        if rows:
+            sums = [[(v or [])[i] for v in rows if v and len(v) > i and v[i] is not None] for i in range(2)]
+            means = [sum(x) / len(rows) if x else None for x in sums]
+            spread = [(sum((y - m) ** 2 for y in x) / len(rows)) ** 0.5 if x else None for x, m in zip(sums, means)]
+            expected[doc] = means + spread
+    assert set(got) == set(expected) and got[4] == [None] * 4
+    for doc, vector in expected.items():
+        np.testing.assert_allclose(np.array(got[doc], float), np.array(vector, float), atol=1e-9)
+
+
+def test_a_word_moves_once_per_block(spark):
+    """One vector per word of a block is moved, not one per word of a document."""
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("w1 w2 w3").alias("text"))
+    _, vectors = tables(spark)
+    frame = pooling.mean_pool(docs, vectors, 70, word_runs("text"))
+    assert frame.count() == 300
+    assert "FlatMapCoGroupsInArrow" in frame._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_sif_does_not_see_held_out_texts(spark):
     docs, _ = tables(spark)
     train = docs.filter("doc_id < 3")
