@@ -4,6 +4,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from textgrain.operators import ngram_tables as nt
+from textgrain.operators import ordering
 from textgrain.operators.lookup import hot_keys, keyed_lookup
 from textgrain.operators.vectorize import fit_features, hashed_features, named_features, training_vectors
 
@@ -59,6 +60,16 @@ def test_one_shuffle_from_text_to_profile_cells(spark):
     assert text.count("Exchange ") == 1
 
 
+def test_parts_follow_the_size_of_the_texts(spark, monkeypatch):
+    """What one task counts is bounded by bytes, whatever the number of shuffle partitions."""
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("abcd "), 200).alias("text"))
+    monkeypatch.setattr(ordering.by_document, "__defaults__", ("doc_id", None, 4000))
+    found = nt.ngram_counts(nt.processed_documents(docs, []), [("char", 2)])
+    assert "hashpartitioning(doc_id" in (plan := found._jdf.queryExecution().executedPlan().toString())
+    assert plan.count("Exchange ") == 1 and ", 101)" in plan
+    assert found.agg(F.sum("cnt"), F.count("*")).first()[:] == (400 * 998, 400 * 5)
+
+
 def test_words_do_not_depend_on_blanks(spark):
     docs = spark.createDataFrame([(0, "\x1c a\u00a0 l'\x85b\tc'd \u2003 e1_'"), (1, "\n ")], "doc_id long, text string")
     found = nt.processed_documents(docs, [])
