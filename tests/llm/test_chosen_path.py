@@ -124,3 +124,28 @@ def test_pairs_at_a_lower_threshold(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in near_components(docs, size=1, percent=60).collect()}
     assert sum(got[2 * k + 1] == 2 * k for k in range(60)) >= 55
+
+
+def test_deeper_levels_take_more_trees():
+    """The chance to meet is an average over what the sketches of a pair at the threshold share."""
+    assert [chosen_path.tree_count(80, level) for level in (2, 6, 10, 14)] == [12, 12, 21, 39]
+
+
+def test_texts_are_read_for_new_candidates_only(spark, monkeypatch):
+    """Later trees find the same pairs again: neither their texts nor their sets are built twice."""
+    calls, build = [], chosen_path.full_sets
+    monkeypatch.setattr(chosen_path, "full_sets", lambda *args: calls.append(1) or build(*args))
+    words = [f"w{k}" for k in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "end"])), (3, " ".join([*words[:53], *(f"v{k}" for k in range(7))])), (4, "quite another")]
+    got = sorted((r.doc_id, r.component_id) for r in near_components(spark.createDataFrame(rows, "doc_id long, text string"), size=2).collect())
+    assert got == [(1, 1), (2, 1), (3, 3), (4, 4)]
+    assert len(calls) == 1
+
+
+def test_blocks_hold_every_member_once_and_the_least_always(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "NODE_LIMIT", 5)
+    members = spark.createDataFrame([(path, name, name, 10, 0) for path in (7, 8) for name in range(10)], "path long, name long, component long, n long, least long")
+    found = [(r.path, r.name) for r in chosen_path.blocks_with_pivot(members, 0).collect()]
+    names = [name for _, name in found]
+    assert all(names.count(name) == 2 for name in range(1, 10))
+    assert {path for path, name in found if name == 0} >= {path for path, name in found if name}

@@ -5,20 +5,23 @@ tokens.  In each of several independent trees a node picks coordinates at random
 1 / threshold of them, and hands every document on to the child of its token there: a pair at
 the threshold is expected to meet in one child per level.  A node of at most ``NODE_LIMIT``
 documents is compared exhaustively.  A larger one branches on, with all of its documents, until
-its nodes are small.  ``tree_count`` takes as many trees as the target recall needs.
+its nodes are small.  ``tree_count`` takes as many trees as the target recall needs at the
+deepest level that a tree had to go to.
 
 **Ends of branches.**  Only connectedness is asked for.  A node whose documents are connected
 already is finished.  A dense group would never come apart, so the documents of a large node are
 also compared in blocks of ``NODE_LIMIT`` that all hold the node's smallest document, twice
 with other blocks; that takes time in proportion to the node, and leaves only nodes with
-several components to branch on.  What is still large at the ``last_level`` (it follows from the number of documents) is compared by
-pairs of blocks, so that every two documents of different components meet.
+several components.  One that then has at most ``NODE_LIMIT`` documents outside its largest
+component is compared by pairs of blocks, so that every two documents of different components
+meet: a few blocks for each block of the node.  The others branch on; what is still large at
+the ``last_level`` (it follows from the number of documents) is compared by pairs of blocks too.
 
 **Confirmation.**  Within a node the sketches pick connected candidates; their full sets are
 then compared, shingle by shingle, as the first 48 bits of 64-bit shingle hashes.  Documents of
 one component are not compared again, so a large group costs about one comparison per document,
 not one per pair.  The first trees connect most; later ones only look at nodes that hold several
-components.
+components.  A cluster of candidates that was compared before is not compared again.
 
 Equal sets (a 64-bit digest of the set and its size) are one class from the start, so exact
 copies are never compared.
@@ -41,16 +44,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textgrain.llm.common import LOWER_CODES, mix, parts_of, prefix_hash, span_hash, text_runs, word_spans
+from textgrain.llm.common import LOWER_CODES, mix, parts_of, prefix_hash, released, span_hash, text_runs, word_spans
 from textgrain.llm.components import components
 from textgrain.llm.string_tiling import run_hashes
-from textgrain.session import discard, durable, scratch
+from textgrain.session import Scratch, discard, durable, scratch
 
 COORDINATES = 64
-# A pair at the threshold meets in one of the trees with this probability, RECALL_LEVEL levels down.
-RECALL, RECALL_LEVEL = 0.995, 10
-FIRST_TREES = 3
+# A pair at the threshold meets in one of the trees with this probability, down to the deepest level.
+RECALL = 0.995
+FIRST_TREES, LEAST_TREES = 3, 12
 FIRST_LEVELS, MORE_LEVELS = 2, 4
+LEAST_LAST_LEVEL = 10
 # Branches end where documents that share this part of their tokens have come apart.
 FAMILY_SHARE = 0.6
 NODE_LIMIT = 512
@@ -59,6 +63,8 @@ SKETCH_DEVIATIONS = 4.4
 # Groups of up to this many members are compared many groups at a time.
 SMALL_GROUP = 16
 SET_BYTES = 6
+# Tables of up to this many rows of a few numbers (some MB at most) are broadcast to tables of texts or sets.
+FEW_ROWS = 1 << 16
 NODES = "path bigint, name bigint, component bigint"
 
 MULTIPLIERS = mix(np.arange(COORDINATES, dtype=np.uint64), 11) | np.uint64(1)
@@ -71,20 +77,29 @@ def sketch_share(percent: int) -> float:
     return threshold - SKETCH_DEVIATIONS * (threshold * (1 - threshold) / COORDINATES) ** 0.5
 
 
-def tree_count(percent: int) -> int:
-    """Trees after which a pair at the threshold has met with the probability ``RECALL``."""
+def tree_count(percent: int, level: int) -> int:
+    """Trees after which a pair at the threshold has met ``level`` levels down with the probability ``RECALL``.
+
+    Its sketches share a binomial part of their tokens, so the chance is an average over it.
+    """
     threshold = percent / 100
-    second, apart = min(1 / threshold - 1, 1), 0.0
-    for _ in range(RECALL_LEVEL):
+    second = min(1 / threshold - 1, 1)
+    shares = np.arange(math.ceil(sketch_share(percent) * COORDINATES), COORDINATES + 1)
+    weights = np.array([math.comb(COORDINATES, k) * threshold**k * (1 - threshold) ** (COORDINATES - k) for k in shares.tolist()])
+    shares, apart = shares / COORDINATES, np.zeros(len(shares))
+    for _ in range(level):
         # One child, or two; the pair is apart if it misses, or comes apart below, each of them.
-        miss = 1 - threshold + threshold * apart
+        miss = 1 - shares + shares * apart
         apart = (1 - second) * miss + second * miss**2
-    return max(math.ceil(math.log(1 - RECALL) / math.log(apart)), FIRST_TREES + 1)
+    trees = LEAST_TREES
+    while weights @ apart**trees > (1 - RECALL) * weights.sum():
+        trees += 1
+    return trees
 
 
 def last_level(classes: int) -> int:
     """The level at which large nodes are compared by pairs of blocks."""
-    return max(RECALL_LEVEL, math.ceil(math.log(max(classes, 1) / NODE_LIMIT) / -math.log(FAMILY_SHARE)))
+    return max(LEAST_LAST_LEVEL, math.ceil(math.log(max(classes, 1) / NODE_LIMIT) / -math.log(FAMILY_SHARE)))
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -196,20 +211,32 @@ def children(members: DataFrame, threshold: float) -> DataFrame:
 
 
 def unfinished(nodes: DataFrame) -> DataFrame:
-    """``(path, name, component, n)`` of the nodes that hold several components; ``n`` members each."""
-    sizes = nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-    return nodes.join(sizes.filter(F.col("low") < F.col("high")).select("path", "n"), "path").select("path", "name", "component", "n")
+    """``(path, name, component, n, least)`` of the nodes that hold several components.
+
+    Each has ``n`` members, of which ``least`` is the smallest.
+    """
+    sizes = nodes.groupBy("path").agg(
+        F.count(F.lit(1)).alias("n"), F.min("name").alias("least"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    several = sizes.filter(F.col("low") < F.col("high")).select("path", "n", "least")
+    return nodes.join(several, "path").select("path", "name", "component", "n", "least")
 
 
 def blocks_with_pivot(members: DataFrame, deal: int) -> DataFrame:
     """``(path, name, component)``: the members of nodes in blocks that all hold the node's smallest."""
-    member = F.struct("name", "component")
-    nodes = members.groupBy("path").agg(F.min(member).alias("least"), F.max("n").alias("of"))
-    nodes = nodes.withColumn("blocks", F.ceil(F.col("of") / F.lit(NODE_LIMIT - 1)).cast("long"))
-    block = F.pmod(F.xxhash64("name", "path", F.lit(deal)), F.col("blocks"))
-    dealt = members.join(nodes, "path").filter(F.col("name") != F.col("least.name")).select("path", block.alias("block"), member.alias("member"))
-    held = nodes.select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("least").alias("member"))
-    return dealt.unionByName(held).select(F.xxhash64("path", "block", F.lit(deal)).alias("path"), "member.name", "member.component")
+    blocks = F.ceil(F.col("n") / F.lit(NODE_LIMIT - 1)).cast("long")
+    own = F.pmod(F.xxhash64("name", "path", F.lit(deal)), blocks)
+    # Only the smallest member of a node goes to all of its blocks.
+    held = F.when(F.col("name") == F.col("least"), F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(own))
+    dealt = members.select("path", "name", "component", F.explode(held).alias("block"))
+    return dealt.select(F.xxhash64("path", "block", F.lit(deal)).alias("path"), "name", "component")
+
+
+def with_outsiders(members: DataFrame) -> DataFrame:
+    """Add ``outsiders``, the members outside the node's largest component; nodes of one component go."""
+    sizes = members.groupBy("path", "component").agg(F.count(F.lit(1)).alias("held"))
+    nodes = sizes.groupBy("path").agg((F.sum("held") - F.max("held")).alias("outsiders"))
+    return members.join(nodes.filter("outsiders > 0"), "path").select("path", "name", "component", "outsiders")
 
 
 def block_pairs(members: DataFrame) -> DataFrame:
@@ -336,6 +363,11 @@ def candidates(nodes: DataFrame, classes: DataFrame, share: float) -> DataFrame:
     return placed.mapInArrow(compare, "cluster bigint, name bigint, component bigint").distinct()
 
 
+def few(table: DataFrame) -> DataFrame:
+    """A written table as the side of a join: broadcast if it has few rows, shuffled otherwise."""
+    return table.hint("broadcast" if table.count() <= FEW_ROWS else "merge")
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """``(name, values)``: the sorted shingle hashes of the classes ``(name, key)``, packed."""
 
@@ -349,7 +381,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first).take(pa.array(same)), pa.array(bodies, pa.binary())], ["name", "values"])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    texts = wanted.join(rows, "key").select("name", "text").mapInArrow(run, "name bigint, values binary")
+    texts = rows.join(few(wanted), "key").select("name", "text").mapInArrow(run, "name bigint, values binary")
     return texts.groupBy("name").agg(F.first("values").alias("values"))
 
 
@@ -376,7 +408,7 @@ def confirmed(clusters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    full = clusters.join(sets, "name").select("cluster", "name", "component", "values")
+    full = sets.join(few(clusters), "name").select("cluster", "name", "component", "values")
     placed = full.repartition("cluster").sortWithinPartitions("cluster", "name")
     return placed.mapInArrow(compare, "a bigint, b bigint")
 
@@ -431,52 +463,80 @@ class Search:
         self.docs, self.classes, self.source, self.percent = docs, classes, (key, text, size), percent
         self.placed = durable(classes.select("name", F.col("name").alias("component")))
         self.sets: list[DataFrame] = []
+        # The clusters that were compared.
+        self.seen: list[DataFrame] = []
         self.last_level = last_level(classes.count())
+        # The deepest level that a tree had to go to.
+        self.level = FIRST_LEVELS
+
+    def run(self) -> None:
+        """All trees; the more of them, the deeper they had to go."""
+        done, wanted = 0, FIRST_TREES
+        while done < wanted:
+            self.trees(range(done, wanted))
+            done, wanted = wanted, tree_count(self.percent, self.level)
 
     def trees(self, trees: range) -> None:
         """Compare the nodes of the trees, level after level until none is left."""
         threshold, level = self.percent / 100, FIRST_LEVELS
         nodes = durable(roots(self.classes.join(self.placed, "name"), trees, threshold))
+        pairs = None
         while True:
+            self.level = max(self.level, level)
             several = durable(unfinished(nodes))
             discard(nodes)
             large = several.filter(F.col("n") > NODE_LIMIT)
-            if large.isEmpty():
-                return self.compare(several)
-            small = several.filter(F.col("n") <= NODE_LIMIT).drop("n")
-            self.compare(small.unionByName(blocks_with_pivot(large, 0)).unionByName(blocks_with_pivot(large, 1)))
-            left = durable(unfinished(durable(large.select("path", "name").join(self.placed, "name"))))
+            work = several.filter(F.col("n") <= NODE_LIMIT).select("path", "name", "component")
+            branches = not large.isEmpty()
+            if branches:
+                work = work.unionByName(blocks_with_pivot(large, 0)).unionByName(blocks_with_pivot(large, 1))
+            self.compare(work if pairs is None else work.unionByName(pairs))
+            if pairs is not None:
+                discard(pairs)
+            if not branches:
+                return
+            left = durable(with_outsiders(large.select("path", "name").join(self.placed, "name")))
             discard(several)
+            few_outside = F.lit(level >= self.last_level) | (F.col("outsiders") <= NODE_LIMIT)
+            pairs = durable(block_pairs(left.filter(few_outside).drop("outsiders")))
+            left = left.filter(~few_outside)
             if left.isEmpty():
-                return None
-            if level >= self.last_level:
-                return self.compare(block_pairs(left))
+                self.compare(pairs)
+                return
             nodes = durable(children(left.join(self.classes.select("name", "tokens"), "name"), threshold))
             level += MORE_LEVELS
 
     def compare(self, nodes: DataFrame) -> None:
         """Join the components of classes that meet in the nodes ``(path, name, component)``."""
         with scratch() as tables:
-            clusters = durable(candidates(nodes, self.classes, sketch_share(self.percent)))
-            if clusters.isEmpty():
-                return
-            sets = self.full_sets(clusters)
-            tables.keep(self.sets[-1])
-            links = durable(confirmed(clusters, sets, self.percent))
-            if links.isEmpty():
-                return
-            moved = components(links).select(F.col("node").alias("component"), "root")
-            placed = self.placed.join(moved, "component", "left").select("name", F.coalesce("root", "component").alias("component"))
-            before, self.placed = self.placed, tables.keep(durable(placed))
-            discard(before)
-
-    def full_sets(self, clusters: DataFrame) -> DataFrame:
+            clusters = candidates(nodes, self.classes, sketch_share(self.percent))
+            for seen in self.seen:
+                clusters = clusters.join(few(seen), "cluster", "left_anti")
+            clusters = durable(clusters)
+            if not clusters.isEmpty():
+                self.confirm(clusters, tables)
+        # The shuffles of the step go before the next one.
+        released(self.docs.sparkSession)
+
+    def confirm(self, clusters: DataFrame, tables: Scratch) -> None:
+        """Join the components that the full sets of the clusters' members connect."""
+        self.seen.append(tables.keep(clusters).select("cluster"))
+        links = durable(confirmed(clusters, self.full_sets(clusters, tables), self.percent))
+        if links.isEmpty():
+            return
+        moved = components(links).select(F.col("node").alias("component"), "root")
+        placed = self.placed.join(moved, "component", "left").select("name", F.coalesce("root", "component").alias("component"))
+        before, self.placed = self.placed, tables.keep(durable(placed))
+        discard(before)
+
+    def full_sets(self, clusters: DataFrame, tables: Scratch) -> DataFrame:
         """The sets of the classes in the clusters; those of earlier steps are written already."""
         wanted = clusters.select("name").distinct()
         if self.sets:
             wanted = wanted.join(self.written_sets().select("name"), "name", "left_anti")
-        fresh = durable(full_sets(self.docs, wanted.join(self.classes.select("name", "key"), "name"), *self.source))
-        self.sets.append(fresh)
+        wanted = durable(wanted.join(self.classes.select("name", "key"), "name"))
+        if not wanted.isEmpty():
+            self.sets.append(tables.keep(durable(full_sets(self.docs, wanted, *self.source))))
         return self.written_sets()
 
     def written_sets(self) -> DataFrame:
@@ -499,8 +559,7 @@ def near_components(
             rows.filter(F.col("name").isNotNull()).groupBy("name").agg(F.min("key").alias("key"), F.first("tokens").alias("tokens"))
         )
         search = Search(docs, classes, key, text, size, percent)
-        for trees in (range(FIRST_TREES), range(FIRST_TREES, tree_count(percent))):
-            search.trees(trees)
+        search.run()
         labelled = classes.select("name", "key").join(search.placed, "name")
         least = labelled.groupBy("component").agg(F.min("key").alias("component_id"))
         named = tables.keep(durable(labelled.join(least, "component").select("name", "component_id")))
