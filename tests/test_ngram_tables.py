@@ -3,6 +3,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from textgrain.functions.ngrams import representations
 from textgrain.operators import ngram_tables as nt
 from textgrain.operators import ordering
 from textgrain.operators.lookup import hot_keys, keyed_lookup
@@ -127,3 +128,13 @@ def test_hashed_features_keep_the_total_frequency(spark):
     counts = nt.ngram_counts(processed(spark), [("char", 2)])
     sums = hashed_features(counts, bits=3).groupBy("doc_id").agg(F.sum("freq").alias("s")).collect()
     assert sums and all(abs(r["s"] - 1) < 1e-9 for r in sums)
+
+
+def test_parts_are_smaller_where_a_text_has_more_ngrams(spark):
+    """Fifteen families take about 500 bytes per byte of text: parts of 4 MB would be spilled."""
+    every = representations()["all_ngrams"]
+    assert nt.placed_bytes([("word", 1)]) == ordering.PLACED_BYTES
+    assert nt.placed_bytes(every) * nt.NGRAM_BYTES * 5 <= nt.PART_MEMORY < 2 * nt.placed_bytes(every) * nt.NGRAM_BYTES * 5
+    texts = spark.range(30).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a"), 1 << 20).alias("text"))
+    placed = ordering.by_document(texts, size=F.octet_length("text"), most=nt.placed_bytes(every))
+    assert placed.rdd.getNumPartitions() >= 2 * 30
